@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexloom.llm.quality import op6_quality_classifier
 from lexloom.llm.simhash import op7_simhash_near_dedup
+from lexloom.llm.toxicity import op5_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_simhash_near_dedup": op7_simhash_near_dedup}
+    return {
+        "op5_toxicity": op5_toxicity,
+        "op6_quality_classifier": op6_quality_classifier,
+        "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
