@@ -153,7 +153,7 @@ def links_within(fps: np.ndarray, radius: int) -> np.ndarray:
     return forest(len(fps), np.concatenate(all_a), np.concatenate(all_b))
 
 
-def near_links(classes: DataFrame, radius: int = 3, shard_rows: int = 16_000) -> DataFrame:
+def near_links(classes: DataFrame, radius: int = 3, shard_rows: int = 64_000) -> DataFrame:
     """Return links (a, b) between the distinct fingerprints of ``classes`` (fp): a spanning forest per shard.
 
     The components of these links are those of all pairs within ``radius``.
