@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexloom.llm.packing import op9_best_fit_packing
 from lexloom.llm.quality import op6_quality_classifier
 from lexloom.llm.simhash import op7_simhash_near_dedup
 from lexloom.llm.toxicity import op5_toxicity
@@ -16,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
+        "op9_best_fit_packing": op9_best_fit_packing,
     }
 
 
