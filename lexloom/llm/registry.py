@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexloom.llm.linededup import OP1_SQL, op1_line_dedup
+from lexloom.llm.mixing import OP3_SQL, op3_mixing
 from lexloom.llm.packing import op9_best_fit_packing
 from lexloom.llm.quality import op6_quality_classifier
 from lexloom.llm.simhash import op7_simhash_near_dedup
@@ -14,6 +16,8 @@ from lexloom.llm.toxicity import op5_toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
+        "op3_mixing": op3_mixing,
         "op5_toxicity": op5_toxicity,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
@@ -22,4 +26,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": OP1_SQL, "op3_mixing": OP3_SQL}
