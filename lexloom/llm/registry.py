@@ -12,11 +12,13 @@ from lexloom.llm.packing import op9_best_fit_packing
 from lexloom.llm.quality import op6_quality_classifier
 from lexloom.llm.simhash import op7_simhash_near_dedup
 from lexloom.llm.toxicity import op5_toxicity
+from lexloom.llm.urlfilter import OP2_SQL, op2_url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_url_filter": op2_url_filter,
         "op3_mixing": op3_mixing,
         "op5_toxicity": op5_toxicity,
         "op6_quality_classifier": op6_quality_classifier,
@@ -26,4 +28,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op3_mixing": OP3_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op3_mixing": OP3_SQL}
