@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexloom.llm.embdedup import op10_embedding_near_dedup
 from lexloom.llm.linededup import OP1_SQL, op1_line_dedup
 from lexloom.llm.mixing import OP3_SQL, op3_mixing
 from lexloom.llm.packing import op9_best_fit_packing
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_classifier": op6_quality_classifier,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_embedding_near_dedup": op10_embedding_near_dedup,
     }
 
 
