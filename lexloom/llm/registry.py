@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexloom.llm.annsearch import op4_nearest_neighbours
 from lexloom.llm.embdedup import op10_embedding_near_dedup
 from lexloom.llm.linededup import OP1_SQL, op1_line_dedup
 from lexloom.llm.mixing import OP3_SQL, op3_mixing
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": op1_line_dedup,
         "op2_url_filter": op2_url_filter,
         "op3_mixing": op3_mixing,
+        "op4_nearest_neighbours": op4_nearest_neighbours,
         "op5_toxicity": op5_toxicity,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
