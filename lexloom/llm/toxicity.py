@@ -218,22 +218,30 @@ def learn_insults(texts: list[bytes], y: np.ndarray, support: int | None = None,
     """
     pos, neg = max(int(y.sum()), 1), max(int((1 - y).sum()), 1)
     support = support or int(np.clip(pos / 20, 4, 10))
-    rows: dict[int, list[np.ndarray]] = {size: [] for size in (0, *STEMS)}
-    for lo, hi in blocks(texts):
+    hot: dict[int, list[np.ndarray]] = {size: [] for size in (0, *STEMS)}
+    bad = np.flatnonzero(y == 1)
+    for lo, hi in blocks([texts[k] for k in bad]):
+        t = Tokens([texts[k] for k in bad[lo:hi]])
+        for size, found in hot.items():
+            key, longer = (t.keys(), slice(None)) if size == 0 else t.stem(size)
+            found.append(np.unique(np.stack([key[longer], t.owner[longer].astype(np.uint64)], 1), axis=0)[:, 0])
+    frequent = {}
+    for size, found in hot.items():
+        names, counts = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+        frequent[size] = names[counts >= support]
+    rows: dict[int, list[np.ndarray]] = {size: [np.zeros((0, 3), np.uint64)] for size in frequent}
+    for lo, hi in blocks(texts):  # only what is frequent is kept, so memory stays small
         t = Tokens(texts[lo:hi])
         keys = t.keys()
         before = np.concatenate([[0], keys[:-1]]).astype(np.uint64)
         owner = (t.owner + lo).astype(np.uint64)
-        for size, found in rows.items():
-            key, longer = (keys, np.ones(len(keys), bool)) if size == 0 else t.stem(size)
-            found.append(np.stack([key[longer], owner[longer], before[longer]], 1))
+        for size, names in frequent.items():
+            key, longer = (keys, True) if size == 0 else t.stem(size)
+            which = np.isin(key, names) & longer
+            rows[size].append(np.stack([key[which], owner[which], before[which]], 1))
     out = {}
-    for size, found in rows.items():
-        every = np.concatenate(found) if found else np.zeros((0, 3), np.uint64)
-        hot = every[y[every[:, 1].astype(np.int64)] == 1]
-        names, counts = np.unique(np.unique(hot[:, :2], axis=0)[:, 0], return_counts=True)
-        names = names[counts >= support]
-        part = every[np.isin(every[:, 0], names)]
+    for size, names in frequent.items():
+        part = np.concatenate(rows.pop(size))
         pairs = np.unique(part[:, :2], axis=0)
         slot = np.searchsorted(names, pairs[:, 0])
         label = y[pairs[:, 1].astype(np.int64)]
