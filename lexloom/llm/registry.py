@@ -13,6 +13,7 @@ from lexloom.llm.mixing import OP3_SQL, op3_mixing
 from lexloom.llm.packing import op9_best_fit_packing
 from lexloom.llm.quality import op6_quality_classifier
 from lexloom.llm.simhash import op7_simhash_near_dedup
+from lexloom.llm.suffixdedup import op8_suffix_dedup
 from lexloom.llm.toxicity import op5_toxicity
 from lexloom.llm.urlfilter import OP2_SQL, op2_url_filter
 
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_embedding_near_dedup": op10_embedding_near_dedup,
     }
