@@ -33,45 +33,35 @@ BLOCK = 8192
 TILE = 1024
 
 
-def near(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
-    """Return where the cosine of unit rows reaches the threshold.
+def compare(x: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float, links: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Compare the rows ``left`` of the unit vectors ``x`` with ``right``; where ``right`` begins with ``left``, each pair once.
 
-    Products are rounded in an order that depends on the block; those within
-    1e-12 of the threshold are summed again in one fixed order.
+    Adds the partners' weights to ``links`` and returns the roots that rows then
+    reach. Products are rounded in an order that depends on the block; those
+    within 1e-12 of the threshold are summed again in one fixed order.
     """
-    s = x @ y.T
-    close = np.argwhere(np.abs(s - threshold) < 1e-12)
-    if len(close):
-        s[close[:, 0], close[:, 1]] = (x[close[:, 0]] * y[close[:, 1]]).sum(1)
-    return s >= threshold
-
-
-def compare(x: np.ndarray, home: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Compare the rows ``left`` with the rows ``right`` of ``x`` (or, if equal, all pairs of them) but guests with guests.
-
-    Returns each row's links (by the weights of its partners) and the root that
-    it reaches.
-    """
-    links, root = np.zeros(len(x), np.int64), np.arange(len(x))
-    same = left is right
+    same = len(right) >= len(left) and (right[: len(left)] == left).all()
     for i in range(0, len(left), TILE):
         a = left[i : i + TILE]
         for j in range(i if same else 0, len(right), TILE):
             b = right[j : j + TILE]
-            hit = near(x[a], x[b], threshold) & (home[a][:, None] | home[b][None])
+            product = x[a] @ x[b].T
+            p, q = np.nonzero(product >= threshold - 1e-12)
             if same and i == j:
-                hit &= np.arange(len(a))[:, None] < np.arange(len(b))[None]
-            links[a] += hit @ weight[b]
-            links[b] += hit.T @ weight[a]
-            p, q = np.nonzero(hit)
+                p, q = p[p < q], q[p < q]
+            value = product[p, q]
+            edge = np.abs(value - threshold) < 1e-12
+            value[edge] = (x[a[p[edge]]] * x[b[q[edge]]]).sum(1)
+            p, q = a[p[value >= threshold]], b[q[value >= threshold]]
             if len(p):
-                root = forest(len(x), np.concatenate([np.arange(len(x)), a[p]]), np.concatenate([root, b[q]]))
-    return links, root
+                links += np.bincount(p, weight[q], len(x)).astype(np.int64) + np.bincount(q, weight[p], len(x)).astype(np.int64)
+                root = forest(len(x), np.concatenate([np.arange(len(x)), p]), np.concatenate([root, q]))
+    return root
 
 
 def of_length(classes: DataFrame, total: int, n: int, threshold: float, cells: int | None, guard: float | None) -> DataFrame:
     """Return, for classes of vectors of ``n`` components, rows of (low, _h, _g, links) and of forest edges (low, b)."""
-    centres = k_means(unit(bounded_sample(classes, SAMPLE)), cells or min(4096, max(1, round(math.sqrt(total) / 2))), spherical=True)
+    centres = k_means(unit(bounded_sample(classes, SAMPLE)), cells or min(4096, max(1, round(math.sqrt(total) / 8))), spherical=True)
     apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
     margin = (min(1.0, 3 / math.sqrt(n)) if guard is None else guard) * math.sqrt(2 - 2 * threshold) * apart
     spark = classes.sparkSession
@@ -113,9 +103,15 @@ def of_length(classes: DataFrame, total: int, n: int, threshold: float, cells: i
     def run(part: pa.Table) -> pa.Table:
         x = unit(matrix(part["_vec"]))
         low, block = part["low"].to_numpy(), part["block"].to_numpy()
-        left = np.flatnonzero(block == part["i"][0].as_py())
-        right = left if part["i"][0] == part["j"][0] else np.flatnonzero(block == part["j"][0].as_py())
-        links, root = compare(x, part["own"].to_numpy(zero_copy_only=False), part["many"].to_numpy(), left, right, threshold)
+        own, weight = part["own"].to_numpy(zero_copy_only=False), part["many"].to_numpy()
+        links, root = np.zeros(len(x), np.int64), np.arange(len(x))
+        i, j = part["i"][0].as_py(), part["j"][0].as_py()
+        homes = np.flatnonzero(own & (block == i))
+        later = np.flatnonzero(own & (block == j)) if i != j else homes
+        # A cell's own rows with one another and with guests; guests meet elsewhere.
+        root = compare(x, weight, homes, np.concatenate([later, np.flatnonzero(~own & (block == j))]), threshold, links, root)
+        if i != j:
+            root = compare(x, weight, later, np.flatnonzero(~own & (block == i)), threshold, links, root)
         some, moved = np.flatnonzero(links), np.flatnonzero(root != np.arange(len(root)))
         none = lambda k: pa.nulls(k, pa.int64())
         linked = [pa.array(low[some]), part["_h"].take(some).combine_chunks(), part["_g"].take(some).combine_chunks(), pa.array(links[some]), none(len(some))]
