@@ -1 +1 @@
-"""functions of the engine."""
+"""Column builders for URLs and texts."""

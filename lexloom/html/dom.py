@@ -1,0 +1,126 @@
+"""A tolerant HTML tree on the standard library's tokenizer."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import cached_property
+from html.parser import HTMLParser
+
+VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
+#: An opening tag ends an open one of these in the same container.
+CLOSES = {
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
+    **dict.fromkeys("p div ul ol table section article aside nav header footer main form h1 h2 h3 h4 h5 h6 blockquote pre hr dl figure".split(), {"p"}),
+}
+CONTAINERS = frozenset("ul ol dl table section article aside nav header footer main div body html".split())
+INVISIBLE = frozenset("script style noscript svg template".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5".split())
+
+
+class Node:
+    """An element: its children are nodes and strings."""
+
+    __slots__ = ("__dict__", "attrs", "children", "parent", "tag")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None) -> None:
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.children: list[Node | str] = []
+
+    @property
+    def nodes(self) -> list[Node]:
+        return [c for c in self.children if isinstance(c, Node)]
+
+    def walk(self) -> Iterator[Node]:
+        """Yield all elements below, in document order."""
+        stack = self.nodes[::-1]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack.extend(node.nodes[::-1])
+
+    def find(self, *tags: str) -> Iterator[Node]:
+        return (n for n in self.walk() if n.tag in tags)
+
+    def first(self, *tags: str) -> Node | None:
+        return next(self.find(*tags), None)
+
+    def links(self) -> Iterator[Node]:
+        return (a for a in self.find("a") if a.attrs.get("href", "").strip())
+
+    def above(self) -> Iterator[Node]:
+        node = self.parent
+        while node is not None:
+            yield node
+            node = node.parent
+
+    @property
+    def classes(self) -> list[str]:
+        return self.attrs.get("class", "").split()
+
+    @cached_property
+    def raw(self) -> str:
+        parts, stack = [], [self]
+        while stack:
+            node = stack.pop()
+            if isinstance(node, str):
+                parts.append(node)
+            elif node.tag not in INVISIBLE or node is self:
+                stack.extend(node.children[::-1])
+        return " ".join(parts)
+
+    @cached_property
+    def text(self) -> str:
+        """The text with single spaces, without scripts, styles and the like."""
+        return " ".join(self.raw.split())
+
+    @property
+    def own_text(self) -> str:
+        return " ".join(c.strip() for c in self.children if isinstance(c, str) and c.strip())
+
+
+class _Builder(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = Node("#root", {}, None)
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        ends = CLOSES.get(tag, ())
+        node = self.at
+        while node.parent is not None and node.tag not in CONTAINERS:
+            if node.tag in ends:
+                self.at = node.parent
+                break
+            node = node.parent
+        if tag in ("html", "body") and self.root.first(tag) is not None:
+            return
+        fresh = Node(tag, {k: v or "" for k, v in reversed(attrs)}, self.at)
+        self.at.children.append(fresh)
+        if tag not in VOID:
+            self.at = fresh
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID and self.at.tag == tag:
+            self.at = self.at.parent
+
+    def handle_endtag(self, tag: str) -> None:
+        node = self.at
+        while node.parent is not None and node.tag != tag:
+            node = node.parent
+        if node.parent is not None:
+            self.at = node.parent
+
+    def handle_data(self, data: str) -> None:
+        self.at.children.append(data)
+
+
+def parse(html: str | None) -> Node:
+    """Return the tree of a page, whatever its errors."""
+    builder = _Builder()
+    builder.feed(html or "")
+    builder.close()
+    return builder.root
+
+
+def body_of(root: Node) -> Node:
+    return root.first("body") or root

@@ -1 +1 @@
-"""operators of the engine."""
+"""Operators on whole tables: dedup, audit, rights, export, coverage, crawl decisions, reports."""
