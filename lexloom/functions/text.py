@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -21,6 +22,11 @@ def _col(text: Column | str) -> Column:
     return F.col(text) if isinstance(text, str) else text
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind ``value`` once for ``body``: inside a lambda a plain expression would be computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def split_words(text: Column | str) -> Column:
     """Return the parts between white space."""
     return F.filter(F.split(_col(text), SPACE), lambda w: w != "")
@@ -58,16 +64,19 @@ def content_hash(text: Column | str) -> Column:
 
 def shingles(text: Column | str, n: int = 5) -> Column:
     """Return the distinct ``n``-token shingles of ``text`` as strings."""
-    words = tokens(text)
-    many = F.size(words)
-    made = F.transform(F.sequence(F.lit(1), F.greatest(many - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(many >= n, F.array_distinct(made)).otherwise(F.array().cast("array<string>"))
+
+    def made(words: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, F.array_distinct(parts)).otherwise(F.array().cast("array<string>"))
+
+    return let(tokens(text), made)
 
 
 def detect_language(text: Column | str) -> Column:
     """Return es, en or pt by function words among the first 4000 words; ``?`` for up to 5 hits."""
     words = F.slice(F.regexp_extract_all(F.lower(_col(text)), F.lit("[a-záéíóúñãõç]+"), 0), 1, 4000)
-    score = {lang: F.size(F.filter(words, lambda w, listed=listed: w.isin(listed))) for lang, listed in vocab.STOPWORDS.items()}
+    hits = lambda listed: F.size(F.filter(words, lambda w: w.isin(listed)))
+    score = {lang: hits(listed) for lang, listed in vocab.STOPWORDS.items()}
     best = F.greatest(*score.values())
     found = F.when(best <= 5, "?")
     for lang, value in score.items():
@@ -89,7 +98,7 @@ def _wordy(text: Column | str, letters: str) -> tuple[Column, Column]:
 
 def page_wordy_ratio(text: Column | str) -> Column:
     """Return the share of words among non-numeric tokens, null for fewer than 30."""
-    many, good = _wordy(text, "A-Za-zÀ-ÖØ-öø-ÿ")
+    many, good = _wordy(text, "A-Za-zÁÉÍÓÚÑáéíóúñüÜçÇàèìòùâêîôûäëïöü")
     return F.when(many >= 30, good / many)
 
 
@@ -125,10 +134,13 @@ def json_of(text: Column | str) -> Column:
 
 def phrase_evidence(text: Column | str, phrases: list[str], before: int = 80, after: int = 120) -> Column:
     """Return (phrase, evidence) for each of ``phrases`` that ``text`` holds, with what stands around the first."""
-    flat = collapse(text)
-    at = lambda p: F.locate(p, F.lower(flat))
-    found = [F.when(at(p) > 0, F.struct(F.lit(p).alias("phrase"), F.substring(flat, F.greatest(at(p) - before, F.lit(1)), F.least(at(p) - 1, F.lit(before)) + len(p) + after).alias("evidence"))) for p in phrases]
-    return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+    def found(flat: Column) -> Column:
+        at = lambda p: F.locate(p, F.lower(flat))
+        each = [F.when(at(p) > 0, F.struct(F.lit(p).alias("phrase"), F.substring(flat, F.greatest(at(p) - before, F.lit(1)), F.least(at(p) - 1, F.lit(before)) + len(p) + after).alias("evidence"))) for p in phrases]
+        return F.filter(F.array(*each), lambda x: x.isNotNull())
+
+    return let(collapse(text), found)
 
 
 @F.pandas_udf(DoubleType())

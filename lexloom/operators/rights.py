@@ -24,8 +24,7 @@ def robots_signals(robots: Column | str) -> Column:
 
 def phrases(text: Column | str) -> Column:
     """Return the phrases about rights that a text holds."""
-    flat = F.lower(T.collapse(text))
-    return F.filter(F.array(*[F.lit(p) for p in vocab.RIGHTS_PHRASES]), lambda p: flat.contains(p))
+    return T.let(F.lower(T.collapse(text)), lambda flat: F.filter(F.array(*[F.lit(p) for p in vocab.RIGHTS_PHRASES]), lambda p: flat.contains(p)))
 
 
 def verdict(domain: Column, content_signal: Column, ai_bots_blocked: Column, tdm: Column, meta_noai: Column, license_links: Column, copyright_line: Column, found: Column) -> Column:

@@ -1 +1 @@
-"""plans of the engine."""
+"""Registered queries and their SQL."""

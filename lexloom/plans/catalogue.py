@@ -5,28 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lexloom.session import table
+from lexloom.plans import corpus_queries, crawl_queries, page_queries, url_queries
 
-
-def content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact content duplicates: the collapsed text of 200 characters or more decides."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.trim(F.regexp_replace("text", r"\s+", " ")).alias("t"))
-    keyed = docs.where(F.length("t") >= 200).select("doc_id", F.substring(F.sha2("t", 256), 1, 32).alias("content_hash"))
-    return keyed.groupBy("content_hash").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n_docs"))
-
-
-CONTENT_DEDUP_SQL = r"""
-SELECT substr(sha256(t), 1, 32) AS content_hash, min(doc_id) AS kept_doc_id, count(*) AS n_docs
-FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM documents)
-WHERE length(t) >= 200 GROUP BY 1
-"""
+FAMILIES = (corpus_queries, url_queries, crawl_queries, page_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"content_dedup": content_dedup}
+    """Return every query by name."""
+    return {name: query for family in FAMILIES for name, (query, _) in family.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"content_dedup": CONTENT_DEDUP_SQL}
+    """Return the SQL of the queries that SQL can express."""
+    return {name: sql for family in FAMILIES for name, (_, sql) in family.QUERIES.items() if sql}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,3 +20,14 @@ def get_session(app: str = "lexloom", master: str | None = None, **conf: str) ->
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table of a data folder through Spark's own reader."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's shared checkpoint folder, so that several uses don't compute it again.
+
+    Only where the session names no folder (on one machine) a temporary one is used.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint()

@@ -1 +1 @@
-"""streaming of the engine."""
+"""Live monitoring of a run with Structured Streaming."""
