@@ -56,13 +56,14 @@ def hints(pages: Column, image_ratio: Column) -> Column:
 
 def work_queue(queue: DataFrame, lang: str = "spa") -> DataFrame:
     """Return (doc_id, text, error) for rows of (doc_id, body, engine); failures stay queued with their error."""
+    engines = dict(ENGINES)  # as registered here: the tasks have registries of their own
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for row in batch.itertuples():
                 try:
-                    out.append((row.doc_id, ENGINES[row.engine](bytes(row.body), lang), None))
+                    out.append((row.doc_id, engines[row.engine](bytes(row.body), lang), None))
                 except Exception as error:  # whatever an engine raises belongs to its row
                     out.append((row.doc_id, None, f"{type(error).__name__}: {error}"))
             yield pd.DataFrame(out, columns=["doc_id", "text", "error"])

@@ -64,7 +64,7 @@ def word_text(body: bytes) -> tuple[str | None, dict[str, str], str]:
         text = "".join(t.text or "" for t in paragraph.iter(f"{WORD_SPACE}t")).strip()
         if text:
             parts.append("#" * int(level[1]) + " " + text if level else text)
-    properties = {e.tag.rpartition("}")[2]: e.text.strip() for e in core or () if e.text and e.text.strip()}
+    properties = {e.tag.rpartition("}")[2]: e.text.strip() for e in (() if core is None else core) if e.text and e.text.strip()}
     text = "\n\n".join(parts)
     return (text, properties, "ok") if len(text.split()) >= 20 else (None, properties, "raw_only")
 
