@@ -246,15 +246,16 @@ def repeated_spans(docs: DataFrame, length: int = 400, text_col: str = "text") -
     """
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")).where(F.octet_length("_text") >= length)
     every = stretches_of(texts, length)
-    repeated = every.groupBy("anchor").agg(F.sum("many").alias("n")).where("n > 1").select("anchor")
+    # What is counted by a key is cut off before it is joined on that key: only then can a frequent key's rows be split.
+    repeated = cut_lineage(every.groupBy("anchor").agg(F.sum("many").alias("n")).where("n > 1").select("anchor"))
     live = cut_lineage(every.join(repeated, "anchor", "left_semi"))
     # A stretch can hold a repeated string only if one of its cores occurs in another stretch of its anchor.
-    shared = live.select("anchor", "many", F.explode("cores").alias("core")).groupBy("anchor", "core").agg(F.sum("many").alias("n")).where("n > 1").select("anchor", "core")
-    able = live.select("anchor", "whole", F.explode("cores").alias("core")).join(shared, ["anchor", "core"], "left_semi").select("anchor", "whole").distinct()
+    shared = cut_lineage(live.select("anchor", "many", F.explode("cores").alias("core")).groupBy("anchor", "core").agg(F.sum("many").alias("n")).where("n > 1").select("anchor", "core"))
+    able = cut_lineage(live.select("anchor", "whole", F.explode("cores").alias("core")).join(shared, ["anchor", "core"], "left_semi").select("anchor", "whole").distinct())
     places = cut_lineage(live.drop("cores").join(able, ["anchor", "whole"], "left_semi"))
     kinds = places.groupBy("anchor", "whole").agg(F.sum("many").alias("many"), F.first(F.struct("t1", "t2", "first", "size")).alias("at"))
     kinds = cut_lineage(kinds.select("anchor", "whole", "many", "at.*"))
-    crowd = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    crowd = cut_lineage(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
     wanted = kinds.join(crowd, "anchor")
     # The bytes of one stretch of each kind, from the texts that hold them.
     per_text = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "size", "anchor", "whole", "many", "kinds")).alias("at"))
