@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import table
+from lexloom.llm.common import cut_lineage, table
 
 BASE, MODULUS = 1_000_003, 2_147_483_647
 #: Of rolling hashes, one in so many is a candidate for a boundary.
@@ -74,9 +74,10 @@ def line_dedup(docs: DataFrame, spread: int = SPREAD, id_col: str = "doc_id", te
     rows = base.where(F.col(text_col).contains("\n")).select("_id", "_th", F.explode(let(split, texts)).alias("c"))
     rows = rows.select("_id", "_th", F.col("c.k").alias("_k"), F.col("c.chunk").alias("_chunk")).withColumn("_h", F.xxhash64("_chunk"))
     spans = [f(c).alias(f"{n}{c}") for c in ("_id", "_th", "_k") for n, f in (("lo", F.min), ("hi", F.max))]
-    repeated = rows.groupBy("_h").agg(*spans).where("lo_id < hi_id OR lo_th < hi_th OR lo_k < hi_k").select("_h")
+    # What is counted by a key is cut off before it is joined on that key: only then can a frequent chunk's rows be split.
+    repeated = cut_lineage(rows.groupBy("_h").agg(*spans).where("lo_id < hi_id OR lo_th < hi_th OR lo_k < hi_k").select("_h"))
     maybe = rows.join(repeated, "_h", "left_semi")
-    firsts = maybe.groupBy("_h", "_chunk").agg(F.min(F.struct("_id", "_th", "_k")).alias("_first"))
+    firsts = cut_lineage(maybe.groupBy("_h", "_chunk").agg(F.min(F.struct("_id", "_th", "_k")).alias("_first")))
     later = maybe.join(firsts, ["_h", "_chunk"]).where(F.struct("_id", "_th", "_k") != F.col("_first"))  # equal hashes and equal bytes
     drop = later.groupBy("_id", "_th").agg(F.collect_set("_k").alias("_drop"))
     joined = base.join(drop, ["_id", "_th"], "left")
