@@ -72,6 +72,16 @@ def shingles(text: Column | str, n: int = 5) -> Column:
     return let(tokens(text), made)
 
 
+def shingle_hashes(text: Column | str, n: int = 5) -> Column:
+    """Return the sorted, distinct 64-bit hashes of the ``n``-token shingles of ``text``."""
+
+    def made(words: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, n)))
+        return F.when(F.size(words) >= n, F.sort_array(F.array_distinct(parts))).otherwise(F.array().cast("array<long>"))
+
+    return let(tokens(text), made)
+
+
 def detect_language(text: Column | str) -> Column:
     """Return es, en or pt by function words among the first 4000 words; ``?`` for up to 5 hits."""
     words = F.slice(F.regexp_extract_all(F.lower(_col(text)), F.lit("[a-záéíóúñãõç]+"), 0), 1, 4000)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import text as T
 from lexloom.functions import vocab
 from lexloom.html import documents, pages
+from lexloom.session import spread
 
 PAGE_MAP = (
     "page_kind string, text_chars int, root_selector string, root_chars int, link_density double, paragraph_chars int, group_items int, group_score double, "
@@ -33,7 +34,7 @@ def _mapped(rows: DataFrame, make: Callable[[str, str | None], dict], schema: st
             yield pd.concat([batch[kept], made], axis=1)
 
     types = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
-    return rows.select(*kept, "html").mapInPandas(run, f"{types}, {schema}")
+    return spread(rows.select(*kept, "html")).mapInPandas(run, f"{types}, {schema}")
 
 
 def _fields(schema: str) -> list[str]:

@@ -31,3 +31,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Return ``df`` in at least as many partitions as there are cores.
+
+    A small table in one file would be one task; larger ones keep their partitions
+    and are not shuffled, and neither is what comes from a shuffle. Select the
+    needed columns before.
+    """
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df  # asking such a plan for its partitions would run it
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
