@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A word: bytes other than ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
+from lexloom.session import cut_lineage, spread, table
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; only
-    where none is set (tests on one machine) a temporary one is made. The files
-    outlive the executors that wrote them.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+__all__ = ["WORD", "crc_fold", "cut_lineage", "labelled_sample", "spread", "table"]
 
-
-def partitions(spark: SparkSession) -> int:
-    """Return the session's number of shuffle partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: A word: bytes other than ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def crc_fold(key: str, folds: int) -> Column:
@@ -34,17 +18,13 @@ def crc_fold(key: str, folds: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % folds
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table of a data folder through Spark's own reader."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, most: dict[int, int]) -> list[tuple[str, int]]:
     """Return (text, label) of a bounded sample of the labelled rows where ``train`` holds.
 
     ``most`` gives the largest number of rows for each label value; the rows
     with the smallest hash of their id are taken, so reruns agree. Labels that
-    contradict each other count as 1. The result's size is bounded by ``most``.
+    contradict each other count as 1, and of rows that repeat an id the smallest
+    text counts, so that the result is bounded by ``most``.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & train).groupBy("doc_id").agg(F.max(label).alias("y"))
     chosen = None
@@ -52,5 +32,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
         part = known.where(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.where(train).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most sum(most) rows
-    rows = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y").collect()
+    once = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("y").alias("y"))
+    rows = once.collect()
     return [(r["text"], int(r["y"])) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))]

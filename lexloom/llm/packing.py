@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import cut_lineage, table
+from lexloom.llm.common import cut_lineage, spread, table
 
 CAPACITY = 1024
 END_OF_DOCUMENT = 2
@@ -83,7 +83,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: s
             yield pa.RecordBatch.from_arrays(columns[:last], names[:last])
 
     schema = "id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
+    return spread(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))).mapInArrow(run, schema)
 
 
 def place(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:

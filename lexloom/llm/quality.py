@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lexloom.llm.common import crc_fold, labelled_sample, table
+from lexloom.llm.common import crc_fold, labelled_sample, spread, table
 from lexloom.llm.textkernel import FOLDED, PLAIN, Words, blocks, texts_of, xxh64
 
 BUCKETS = 1 << 14
@@ -164,7 +164,7 @@ def score_quality(docs: DataFrame, model: Machine, text_col: str = "text", score
             score = shared.value.score(texts_of(batch.column(at)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*names, score_col])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
+    return spread(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: dict[int, int] = SAMPLE) -> Machine:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import cut_lineage, table
+from lexloom.llm.common import cut_lineage, spread, table
 from lexloom.llm.components import components
 from lexloom.llm.textkernel import Words, blocks, texts_of, xxh64
 
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str =
             fp = fingerprint(texts_of(batch.column(1)), words, seed).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "id long, fp long")
+    return spread(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))).mapInArrow(run, "id long, fp long")
 
 
 @dataclass

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lexloom.llm.common import crc_fold, labelled_sample, table
+from lexloom.llm.common import crc_fold, labelled_sample, spread, table
 from lexloom.llm.textkernel import Words, blocks, texts_of, xxh64
 
 #: The most labelled rows of each class that lexicon and weights are learned from.
-SAMPLE = {0: 4000, 1: 2500}
+SAMPLE = {0: 3000, 1: 2000}
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 #: Word lists of the grammar (English, German, French, Spanish).
 LISTS = {
@@ -291,7 +291,7 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, text_col: str = "text", sc
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(texts_of(batch.column(at))))], [*names, score_col])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
+    return spread(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most: dict[int, int] = SAMPLE) -> Grammar:
