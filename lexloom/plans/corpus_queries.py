@@ -92,7 +92,7 @@ def corpus_report(spark, sf):
 
 def ocr_triage(spark, sf):
     """Each source is a file of up to 50 pages: its documents, with an image share by number."""
-    pages = table(spark, sf, "documents").select(F.col("source").alias("doc_id"), F.col("doc_id").alias("page"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.substring("text", 1, 300)).alias("text"), ((F.col("doc_id") % 4) / 3).alias("image_ratio"))
+    pages = table(spark, sf, "documents").select(F.col("source").alias("doc_id"), F.col("doc_id").alias("page"), F.when((F.regexp_extract("source", r"(\d+)$", 1).cast("int") % 2 == 0) & (F.col("doc_id") % 3 != 0), "").otherwise(F.col("text")).alias("text"), ((F.col("doc_id") % 4) / 3).alias("image_ratio"))
     out = scans.triage(pages)
     return out.select("doc_id", "pages", F.round("avg_chars", 6).alias("avg_chars"), F.round("avg_image_ratio", 6).alias("avg_image_ratio"), "without_text", "needs_ocr", scans.engine(F.col("avg_image_ratio"), F.col("bad_text_ratio"), F.col("avg_chars")).alias("engine"))
 
@@ -135,8 +135,8 @@ QUERIES = {
     "title_flags": (lambda spark, sf: audit.title_flags(documents(spark, sf)), f"WITH {TITLES_SQL} SELECT doc_id, flag, n_titles FROM titles WHERE flag IS NOT NULL"),
     "title_frequency": (lambda spark, sf: documents(spark, sf).groupBy(F.btrim("title").alias("title")).agg(F.count("*").alias("n")).where("n > 1"), "SELECT trim(split_part(text, chr(10), 1)) AS title, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1"),
     "link_ratio": (
-        lambda spark, sf: table(spark, sf, "documents").select("doc_id", F.round(T.link_ratio(F.concat(F.lit("[home](http://a.b/"), "source", F.lit(") "), F.substring("text", 1, 100))), 6).alias("ratio")),
-        "SELECT doc_id, round((length('[home](http://a.b/' || source || ')')) / length('[home](http://a.b/' || source || ') ' || substr(text, 1, 100)), 6) AS ratio FROM documents",
+        lambda spark, sf: table(spark, sf, "documents").select("doc_id", F.round(T.link_ratio(F.concat(F.lit("[home](http://a.b/"), "source", F.lit(") "), "text")), 6).alias("ratio")),
+        "SELECT doc_id, round((length('[home](http://a.b/' || source || ')')) / length('[home](http://a.b/' || source || ') ' || text), 6) AS ratio FROM documents",
     ),
     "audit_flags": (lambda spark, sf: audit.suspects(audit_flags(spark, sf)), f"WITH {FLAGS_SQL} SELECT doc_id, count(*) AS n_flags, list_sort(list_distinct(list(flag))) AS flags FROM flags GROUP BY doc_id"),
     "audit_summary": (
@@ -172,7 +172,7 @@ QUERIES = {
     ),
     "ocr_triage": (
         ocr_triage,
-        "WITH p AS (SELECT source AS doc_id, doc_id AS page, CASE WHEN doc_id % 3 = 0 THEN '' ELSE substr(text, 1, 300) END AS text, doc_id % 4 / 3 AS image_ratio, count(*) OVER (PARTITION BY source) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k FROM documents), "
+        "WITH p AS (SELECT source AS doc_id, doc_id AS page, CASE WHEN regexp_extract(source, '(\\d+)$', 1)::INT % 2 = 0 AND doc_id % 3 <> 0 THEN '' ELSE text END AS text, doc_id % 4 / 3 AS image_ratio, count(*) OVER (PARTITION BY source) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k FROM documents), "
         "s AS (SELECT * FROM p WHERE n <= 8 OR list_contains(list_transform(range(0, 8), lambda i: round_even(i * (n - 1) / 7, 0)::INT), k)), "
         "w AS (SELECT *, " + WORDY.format(SPLIT.format("text")) + " AS toks FROM s), r AS (SELECT *, CASE WHEN len(toks) >= 30 THEN len(list_filter(toks, lambda x: regexp_full_match(trim(x, '.,;:()[]\"''¡!¿?%'), '[A-Za-zÁÉÍÓÚÑáéíóúñüÜçÇàèìòùâêîôûäëïöü]{3,}'))) / len(toks) END AS wordy FROM w), "
         "a AS (SELECT doc_id, any_value(n) AS pages, avg(length(trim(text, ' ' || chr(10) || chr(9) || chr(13)))) AS c, avg(image_ratio) AS i, count(*) FILTER (length(trim(text, ' ' || chr(10) || chr(9) || chr(13))) < 20) AS without_text, count(*) AS m, coalesce(count(*) FILTER (wordy < 0.45) / nullif(count(wordy), 0), 0) AS bad FROM r GROUP BY doc_id) "

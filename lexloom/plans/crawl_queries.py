@@ -63,7 +63,7 @@ def _signals(spark, sf):
 def _pages_seen(spark, sf):
     """Fetched pages with every signal a decision looks at, by number."""
     k = F.col("event_id")
-    e = table(spark, sf, "events").where(k < 5000)
+    e = table(spark, sf, "events")
     return e.select(
         k, (k % 31 == 0).alias("already_saved"), (k % 29 != 0).alias("robots_allowed"), (k % 27 == 0).alias("throttled"), (k % 25 == 0).alias("blocked"), F.when(k % 23 == 0, 404).otherwise(200).alias("status"),
         (k % 19 == 0).alias("is_pdf"), (k % 18 == 0).alias("is_word"), (k % 2 == 0).alias("too_large"), F.when(k % 17 == 0, "").otherwise("<p>").alias("html"), (k % 16 != 0).alias("same_site"),
@@ -78,7 +78,7 @@ def _tree_docs(spark, sf):
 
 def _seeds(spark, sf):
     pages = table(spark, sf, "pages")
-    return report.seeds_by_domain(pages.select("url"), pages.where("page_id % 10 = 0").select(U.bare_host("url").alias("domain")).distinct())
+    return report.seeds_by_domain(pages.select("url"), pages.where(F.col("url").contains(".example.org")).select(U.bare_host("url").alias("domain")).distinct())
 
 
 def _saturation(spark, sf):
@@ -120,14 +120,14 @@ def _rates(spark, sf):
 
 def _probe(spark, sf):
     e = table(spark, sf, "events")
-    rows = e.where("event_id < 3000").select((F.col("event_id") % 7).cast("string").alias("seed"), (F.floor(F.col("event_id") / 7) % 40).alias("page"), ((F.col("event_id") * 13) % 211).alias("item"))
+    rows = e.select((F.col("event_id") % 7).cast("string").alias("seed"), (F.floor(F.col("event_id") / 7) % 40).alias("page"), (F.floor(F.col("event_id") / 7) * (F.col("event_id") % 7 + 1) % 97).alias("item"))
     return report.probe_summary(rows)
 
 
 def _compared(spark, sf):
     docs = table(spark, sf, "documents")
     urls = docs.select(F.concat(F.lit("https://x.org/article/"), F.when(F.col("doc_id") % 2 == 0, "MED").otherwise("PMC"), F.lit("/"), (F.col("doc_id") % 600).cast("string")).alias("url"))
-    api = docs.where("doc_id % 3 = 0").select((F.col("doc_id") % 700).cast("string").alias("ext_id"))
+    api = docs.select((F.col("doc_id") * 3 % 700).cast("string").alias("ext_id"))
     return report.compared(api, report.external_ids(urls))
 
 
@@ -175,7 +175,7 @@ QUERIES = {
     "page_decisions": (
         lambda spark, sf: crawl.page_decision(_pages_seen(spark, sf)).groupBy("decision").agg(F.count("*").alias("n")),
         "WITH d AS (SELECT CASE WHEN k % 31 = 0 THEN 'already_saved' WHEN k % 29 = 0 THEN 'robots' WHEN k % 27 = 0 THEN 'throttle' WHEN k % 25 = 0 THEN 'blocked' WHEN k % 23 = 0 THEN 'http_error' WHEN k % 19 = 0 OR k % 18 = 0 THEN CASE WHEN k % 2 = 0 THEN 'too_large' WHEN k % 3 = 0 THEN 'duplicate' ELSE 'saved' END "
-        "WHEN k % 17 = 0 THEN 'empty' WHEN k % 16 = 0 THEN 'offsite_html' WHEN k % 5 = 0 THEN 'listing' WHEN k % 10 = 9 THEN 'hub' WHEN k % 400 < 80 THEN 'no_document' WHEN k % 3 = 0 THEN 'duplicate' ELSE 'saved' END AS decision FROM (SELECT event_id AS k FROM events WHERE event_id < 5000)) SELECT decision, count(*) AS n FROM d GROUP BY 1",
+        "WHEN k % 17 = 0 THEN 'empty' WHEN k % 16 = 0 THEN 'offsite_html' WHEN k % 5 = 0 THEN 'listing' WHEN k % 10 = 9 THEN 'hub' WHEN k % 400 < 80 THEN 'no_document' WHEN k % 3 = 0 THEN 'duplicate' ELSE 'saved' END AS decision FROM (SELECT event_id AS k FROM events)) SELECT decision, count(*) AS n FROM d GROUP BY 1",
     ),
     "provenance_path": (
         lambda spark, sf: crawl.provenance_paths(provenance(spark, sf)),
@@ -186,19 +186,19 @@ QUERIES = {
         f"WITH RECURSIVE {TREE_SQL}, up AS (SELECT url, url AS node, via FROM nodes UNION ALL SELECT u.url, n.url, n.via FROM up u JOIN nodes n ON n.url = u.via), d AS (SELECT 'n' || (doc_id * 3) AS url, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS words FROM documents) "
         "SELECT node AS url, count(d.url) AS branch_docs, coalesce(sum(words), 0)::BIGINT AS branch_words FROM up LEFT JOIN d ON d.url = up.url GROUP BY node",
     ),
-    "seed_order": (_seeds, "WITH p AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^www\\.', '') AS domain FROM pages) SELECT domain, count(*) AS n_seeds FROM p WHERE domain NOT IN (SELECT domain FROM p WHERE page_id % 10 = 0) GROUP BY 1"),
+    "seed_order": (_seeds, "WITH p AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^www\\.', '') AS domain FROM pages) SELECT domain, count(*) AS n_seeds FROM p WHERE domain NOT IN (SELECT domain FROM p WHERE contains(domain, '.example.org')) GROUP BY 1"),
     "resume_pending": (
-        lambda spark, sf: ledger(spark, sf).select("seed").distinct().join(ledger(spark, sf).where("decision = 'saved' AND seq < 60").select("seed").distinct(), "seed", "left_anti"),
-        f"WITH {LEDGER_SQL} SELECT DISTINCT seed FROM visits WHERE seed NOT IN (SELECT seed FROM visits WHERE decision = 'saved' AND seq < 60)",
+        lambda spark, sf: ledger(spark, sf).select("seed").distinct().join(ledger(spark, sf).where(F.col("seed").rlike("[13579].example$")).select("seed").distinct(), "seed", "left_anti"),
+        f"WITH {LEDGER_SQL} SELECT DISTINCT seed FROM visits WHERE NOT regexp_matches(seed, '[13579].example$')",
     ),
     "probe_summary": (
         _probe,
-        "WITH p AS (SELECT (event_id % 7)::VARCHAR AS seed, (event_id // 7) % 40 AS page, event_id * 13 % 211 AS item FROM events WHERE event_id < 3000), f AS (SELECT seed, item, min(page) AS page FROM p GROUP BY ALL), n AS (SELECT seed, page, count(*) AS new FROM f GROUP BY ALL), g AS (SELECT DISTINCT seed, page FROM p), j AS (SELECT seed, page, coalesce(new, 0) AS new FROM g LEFT JOIN n USING (seed, page)), "
+        "WITH p AS (SELECT (event_id % 7)::VARCHAR AS seed, (event_id // 7) % 40 AS page, (event_id // 7) * (event_id % 7 + 1) % 97 AS item FROM events), f AS (SELECT seed, item, min(page) AS page FROM p GROUP BY ALL), n AS (SELECT seed, page, count(*) AS new FROM f GROUP BY ALL), g AS (SELECT DISTINCT seed, page FROM p), j AS (SELECT seed, page, coalesce(new, 0) AS new FROM g LEFT JOIN n USING (seed, page)), "
         "b AS (SELECT *, page - coalesce(max(CASE WHEN new > 0 THEN page END) OVER (PARTITION BY seed ORDER BY page), 0) AS barren FROM j) SELECT seed, sum(new)::BIGINT AS unique_items, count(*) AS pages, count(*) FILTER (new > 0) AS pages_with_new, min(page) FILTER (barren >= 3) AS stopped_at FROM b GROUP BY seed",
     ),
     "api_comparison": (
         _compared,
-        "WITH a AS (SELECT DISTINCT (doc_id % 700)::VARCHAR AS i FROM documents WHERE doc_id % 3 = 0), s AS (SELECT DISTINCT (doc_id % 600)::VARCHAR AS i FROM documents) SELECT CASE WHEN s.i IS NULL THEN 'api' WHEN a.i IS NULL THEN 'scraped' ELSE 'both' END AS found_in, count(*) AS n FROM a FULL JOIN s ON a.i = s.i GROUP BY 1",
+        "WITH a AS (SELECT DISTINCT (doc_id * 3 % 700)::VARCHAR AS i FROM documents), s AS (SELECT DISTINCT (doc_id % 600)::VARCHAR AS i FROM documents) SELECT CASE WHEN s.i IS NULL THEN 'api' WHEN a.i IS NULL THEN 'scraped' ELSE 'both' END AS found_in, count(*) AS n FROM a FULL JOIN s ON a.i = s.i GROUP BY 1",
     ),
     "run_rates": (
         lambda spark, sf: report.run_rates(ledger(spark, sf).groupBy("seed").agg(F.count("*").alias("pages"), F.count_if(F.col("decision") == "saved").alias("documents"), (F.max("ts") - F.min("ts")).alias("seconds"))).select("seed", "pages", "documents", "pages_per_minute", "documents_per_hour"),

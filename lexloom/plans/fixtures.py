@@ -79,17 +79,20 @@ COLLAPSED_SQL = (
 
 
 def inventories(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
-    """Two inventories of URLs that overlap: a sitemap and a spider's."""
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    place = F.col("doc_id") % PLACES
-    url = F.concat(F.lit("https://site"), (F.col("doc_id") % SITES).cast("string"), F.lit(".example/"), _pick(SECTIONS, F.col("doc_id") % 5), F.lit("/"), place.cast("string"), F.when(place % 11 == 0, ".csv").otherwise(""))
-    rows = docs.select("doc_id", url.alias("url"))
-    return [("sitemap", rows.where("doc_id % 3 <> 0").select("url")), ("wget", rows.where("doc_id % 2 = 0").select("url"))]
+    """Two inventories of URLs that overlap: a sitemap and a spider's, which is 40 places on."""
+    docs = table(spark, sf_dir, "documents")
+
+    def listed(at):
+        place = at % PLACES
+        return F.concat(F.lit("https://site"), (at % SITES).cast("string"), F.lit(".example/"), _pick(SECTIONS, at % 5), F.lit("/"), place.cast("string"), F.when(place % 11 == 0, ".csv").otherwise(""))
+
+    return [("sitemap", docs.select(listed(F.col("doc_id")).alias("url"))), ("wget", docs.select(listed(F.col("doc_id") + 40).alias("url")))]
 
 
 INVENTORY_SQL = (
-    f"listed AS (SELECT doc_id, 'https://site' || (doc_id % {SITES}) || '.example/' || {_sql_pick(SECTIONS, 'doc_id % 5')} || '/' || (doc_id % {PLACES}) || CASE WHEN (doc_id % {PLACES}) % 11 = 0 THEN '.csv' ELSE '' END AS key FROM documents), "
-    "inventory AS (SELECT key, CASE WHEN bool_or(doc_id % 3 <> 0) THEN 'sitemap' ELSE 'wget' END AS source FROM listed WHERE doc_id % 3 <> 0 OR doc_id % 2 = 0 GROUP BY key), "
+    "placed AS (SELECT doc_id AS n, 'sitemap' AS source FROM documents UNION ALL SELECT doc_id + 40, 'wget' FROM documents), "
+    f"listed AS (SELECT source, 'https://site' || (n % {SITES}) || '.example/' || {_sql_pick(SECTIONS, 'n % 5')} || '/' || (n % {PLACES}) || CASE WHEN (n % {PLACES}) % 11 = 0 THEN '.csv' ELSE '' END AS key FROM placed), "
+    "inventory AS (SELECT key, min(source) AS source FROM listed GROUP BY key), "
     "classed AS (SELECT *, CASE WHEN key LIKE '%/tag/%' THEN 'utility' WHEN key LIKE '%.csv' THEN 'not_extractable' ELSE 'content' END AS class FROM inventory)"
 )
 

@@ -41,7 +41,7 @@ BLOCKED_SQL = (
 
 def _low_coverage(spark, sf):
     maps = frames.page_maps(_pages(spark, sf), "page_id").withColumnRenamed("page_id", "doc_id")
-    short = _pages(spark, sf).select(F.col("page_id").alias("doc_id"), F.substring(F.regexp_replace("html", "<[^>]+>", " "), 1, 500).alias("text"))
+    short = _pages(spark, sf).select(F.col("page_id").alias("doc_id"), F.regexp_extract("html", "(?is)<h1[^>]*>(.*?)</h1>", 1).alias("text"))
     return audit.low_coverage(short, maps)
 
 
