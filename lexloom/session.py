@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROOT = str(Path(__file__).resolve().parents[1])
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let the session's Python workers find this package where the driver found it.
+
+    That is enough where they see the same folder; on a cluster the package is
+    installed or sent with the job.
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
 
 def get_session(app: str = "lexloom", master: str | None = None, **conf: str) -> SparkSession:
     """Return a session in UTC with adaptive execution; a cluster's own settings win."""
@@ -19,6 +35,7 @@ def get_session(app: str = "lexloom", master: str | None = None, **conf: str) ->
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table of a data folder through Spark's own reader."""
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -40,6 +57,7 @@ def spread(df: DataFrame) -> DataFrame:
     and are not shuffled, and neither is what comes from a shuffle. Select the
     needed columns before.
     """
+    reachable(df.sparkSession)
     if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df  # asking such a plan for its partitions would run it
     cores = df.sparkSession.sparkContext.defaultParallelism
