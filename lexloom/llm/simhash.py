@@ -201,13 +201,12 @@ def simhash_groups(docs: DataFrame, words: int = 3, radius: int = 3, seed: int =
     return fps.join(named, "fp").select("id", "fp", "component_id")
 
 
-def keep_one_per_group(docs: DataFrame, words: int = 5, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Return one row of ``docs`` for each SimHash group: that with the group's smallest id.
+def one_per_group(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Return one row of ``docs`` for each of ``groups`` (id, component_id): that with the group's smallest id.
 
     Of rows that repeat this id the one with the smallest text hash stays. Rows
     whose id is null can't be named and stay.
     """
-    groups = simhash_groups(docs.where(F.col(id_col).isNotNull()), words, radius, 42, id_col, text_col)
     kept = groups.where("id = component_id").select(F.col("id").alias("_kept")).distinct()
     named = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi")
     first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))  # rows of one id
@@ -215,6 +214,12 @@ def keep_one_per_group(docs: DataFrame, words: int = 5, radius: int = 3, id_col:
     return once.unionByName(docs.where(F.col(id_col).isNull()))
 
 
+def keep_one_per_group(docs: DataFrame, words: int = 5, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Return one row of ``docs`` for each SimHash group (see ``one_per_group``)."""
+    groups = simhash_groups(docs.where(F.col(id_col).isNotNull()), words, radius, 42, id_col, text_col)
+    return one_per_group(docs, groups, id_col, text_col)
+
+
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash_groups(table(spark, sf_dir, "documents"))
