@@ -4,11 +4,10 @@ Equal vectors are one class. Each class goes to the cell of its nearest centre
 and, as a guest, to cells of a lower number whose centre is nearly as near: if a
 pair at the threshold is split between two cells, its vector of the higher one
 must be about as near to the other centre, since the two are at most
-sqrt(2 - 2 t) apart. ``guard`` is the part of that exact bound which is used: at 1
-no pair can be lost; by default it is 3 / sqrt(dimensions), three standard
-deviations of what a pair's difference of random direction adds. Cells are
-compared block by block; they return each class's number of links and a spanning
-forest, no pairs, and the forests join into components.
+sqrt(2 - 2 t) apart. ``guard`` is the part of that exact bound which is used: at
+1, the default, no pair can be lost. Cells are compared block by block; they
+return each class's number of links and a spanning forest, no pairs, and the
+forests join into components.
 """
 
 from __future__ import annotations
@@ -59,11 +58,11 @@ def compare(x: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarr
     return root
 
 
-def of_length(classes: DataFrame, total: int, n: int, threshold: float, cells: int | None, guard: float | None) -> DataFrame:
+def of_length(classes: DataFrame, total: int, n: int, threshold: float, cells: int | None, guard: float) -> DataFrame:
     """Return, for classes of vectors of ``n`` components, rows of (low, _h, _g, links) and of forest edges (low, b)."""
     centres = k_means(unit(bounded_sample(classes, SAMPLE)), cells or min(4096, max(1, round(math.sqrt(total) / 8))), spherical=True)
     apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
-    margin = (min(1.0, 3 / math.sqrt(n)) if guard is None else guard) * math.sqrt(2 - 2 * threshold) * apart
+    margin = guard * math.sqrt(2 - 2 * threshold) * apart
     spark = classes.sparkSession
     shared = spark.sparkContext.broadcast((centres, margin))  # at most 4096 centres
 
@@ -124,7 +123,7 @@ def of_length(classes: DataFrame, total: int, n: int, threshold: float, cells: i
     return sent.groupBy("cell", "i", "j").applyInArrow(run, "low long, _h long, _g long, links long, b long")
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.9, cells: int | None = None, guard: float | None = None, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.9, cells: int | None = None, guard: float = 1.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Return (id, n_links, component_id, kept) for every row of ``vectors``.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and

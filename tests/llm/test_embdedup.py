@@ -61,6 +61,24 @@ def test_recall_of_the_default_guard(spark):
     assert 0.99 * want <= got <= want
 
 
+def test_the_default_loses_no_link_between_cells(spark):
+    """Pairs that differ along the line between two centres, about the plane between them."""
+    rng = np.random.default_rng(9)
+    axes = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    rows = []
+    for side in (1, -1):
+        around = side * axes[0] + rng.normal(size=(300, 64)) @ axes * 0.02
+        rows += list(around)
+    for k in range(40):
+        turn = math.acos(0.9) * 0.49
+        rows += [math.cos(turn) * axes[2 + k] + s * math.sin(turn) * axes[0] for s in (1, -1)]
+    every = np.array(rows) / np.linalg.norm(rows, axis=1)[:, None]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(every)], "vec_id long, embedding array<double>")
+    got = {r["id"]: r["n_links"] for r in embdedup.near_vectors(df, cells=2).collect()}
+    want = ((every @ every.T) >= 0.9).sum(1) - 1
+    assert want[600:].min() == 1 and [got[k] for k in range(len(every))] == want.tolist()
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embdedup.near_vectors(df).count() == 0
