@@ -4,7 +4,8 @@ Documents are cut into pieces of at most ``capacity`` tokens. Pieces go, by a
 hash, to blocks that are packed apart from one another, each large enough for its
 few half-empty sequences not to matter. In a block each piece is placed where the
 sum over all residual gaps of the squared number of open bins with that gap
-becomes smallest (Csirik et al., 2006): this keeps bins of all gaps at hand.
+becomes smallest (Csirik et al., 2006): this keeps bins of all gaps at hand. Pieces
+come largest first and a new sequence is opened only where no open one has room.
 """
 
 from __future__ import annotations
@@ -65,7 +66,12 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Return one row for each piece: id, piece, start, length, ids_crc32 and, if asked for, the ids."""
+    """Return one row for each piece: id, piece, start, length, ids_crc32 and, if asked for, the ids.
+
+    Null texts count as empty (one piece of one token); rows whose id is null or
+    repeats are documents of their own; a text of any length is encoded whole,
+    so that its ids must fit in one worker's memory.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(vocabulary)
@@ -86,8 +92,12 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: s
     return spread(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))).mapInArrow(run, schema)
 
 
-def place(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Return the bin of each size, in turn, by the sum-of-squares rule; ties go to the smallest gap."""
+def place(sizes: np.ndarray, capacity: int = CAPACITY, sparing: bool = False) -> np.ndarray:
+    """Return the bin of each size, in turn, by the sum-of-squares rule; ties go to the smallest gap.
+
+    The rule weighs a new bin against the open ones. With ``sparing`` a new bin
+    is opened only for a size that no open bin has room for.
+    """
     open_ = np.zeros(capacity + 1, np.int64)  # bins by gap
     stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
     out = np.empty(len(sizes), np.int64)
@@ -98,7 +108,7 @@ def place(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
         cost = np.where(gaps > 0, 2 * (open_[: capacity + 1 - size] - gaps) + 2, never)
         if gaps[0]:
             cost[0] = 1 - 2 * gaps[0]
-        cost[-1] = 2 * open_[capacity - size] + 1 if size < capacity else 0  # a new bin
+        cost[-1] = (never - 1 if sparing else 2 * open_[capacity - size] + 1) if size < capacity else 0  # a new bin
         gap = size + int(cost.argmin())
         if gap == capacity:
             at, bins = bins, bins + 1
@@ -112,44 +122,16 @@ def place(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     return out
 
 
-def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Return the bin of each size, in turn, by the smallest gap that holds it."""
-    stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
-    open_ = np.zeros(capacity + 1, bool)
-    out = np.empty(len(sizes), np.int64)
-    bins = 0
-    for k, size in enumerate(sizes.tolist()):
-        gap = size + int(open_[size:].argmax())
-        if open_[gap]:
-            at = stacks[gap].pop()
-            open_[gap] = bool(stacks[gap])
-        else:
-            gap, at, bins = capacity, bins, bins + 1
-        if gap > size:
-            stacks[gap - size].append(at)
-            open_[gap - size] = True
-        out[k] = at
-    return out
-
-
 def pack(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Return the bin of each size: sum-of-squares, largest first.
+    """Return the bin of each size: by the sum-of-squares rule among the open bins, the largest size first.
 
-    When no piece is left, gaps of all kinds are of no more use: the bins that
-    are not full are emptied and their pieces placed by best fit, largest first.
+    The rule was made for sizes that keep coming, for which it opens bins of all
+    gaps in advance; here all sizes are known, and bins that stay open are
+    waste, so a new one is opened only where no open bin has room.
     """
     order = np.argsort(-sizes, kind="stable")
     out = np.empty(len(sizes), np.int64)
-    out[order] = place(sizes[order], capacity)
-    if not len(out):
-        return out
-    closed = np.bincount(out, sizes) == capacity
-    rest = order[~closed[out[order]]]
-    again = best_fit(sizes[rest], capacity)
-    if len(rest) and closed.sum() + again.max() < out.max():
-        number = np.cumsum(closed) - 1
-        out = np.where(closed[out], number[out], 0)
-        out[rest] = closed.sum() + again
+    out[order] = place(sizes[order], capacity, sparing=True)
     return out
 
 

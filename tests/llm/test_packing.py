@@ -1,8 +1,10 @@
 """Packing: exact round trip, full sequences and little waste."""
 
+import os
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -55,6 +57,50 @@ def test_rule_equals_brute_force():
         assert sorted(20 - np.bincount(bins, sizes).astype(int)) == brute_place(sizes.tolist(), 20)
 
 
+def test_sparing_rule_equals_brute_force():
+    """Among the open bins with room the smallest sum of squares, then the smallest gap; a new bin where none has room."""
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        sizes = rng.integers(1, 21, 40)
+        gaps: list[int] = []
+        want = np.zeros(40, int)
+        for k in np.argsort(-sizes, kind="stable").tolist():
+            fits = []
+            for at, gap in enumerate(gaps):
+                if gap >= sizes[k]:
+                    after = [g for j, g in enumerate(gaps) if j != at] + [gap - sizes[k]]
+                    fits.append((sum(after.count(g) ** 2 for g in set(after) if g), gap, at))
+            want[k] = min(fits)[2] if fits else len(gaps)
+            if not fits:
+                gaps.append(20)
+            gaps[want[k]] -= sizes[k]
+        assert sorted(20 - np.bincount(packing.pack(sizes, 20), sizes).astype(int)) == sorted(gaps)
+
+
+def test_ids_of_whole_tables_and_odd_strings():
+    encode = packing.encoding(packing.vocabulary_path())
+    whole = Tokenizer.from_file(packing.vocabulary_path())
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(0, 256, int(n), dtype=np.uint8)).decode("utf-8", "replace") for n in rng.integers(1, 400, 300)]
+    texts += ["".join(chr(int(c)) for c in rng.integers(1, 0xD7FF, 60)) for _ in range(300)]
+    texts += [c * n for c in ("a", " ", "\n", "é", "0", "<|endoftext|>", "🙂", "'s ") for n in (1, 2, 3, 127, 1000)]
+    for folder in ("sf0.001", "sf0.01", "sf0.1"):
+        if os.path.isdir(f"/root/testdata/{folder}"):
+            texts += [t or "" for t in pq.read_table(f"/root/testdata/{folder}/documents.parquet", columns=["text"])["text"].to_pylist()]
+    for text, want in zip(texts, whole.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert encode(text) == want.ids, text[:50]
+
+
+def test_waste_on_whole_tables():
+    path = "/root/testdata/sf0.1/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("needs the tables")
+    encode = packing.encoding(packing.vocabulary_path())
+    lengths = [packing.cut(len(encode(t or "")) + 1)[0][1] for t in pq.read_table(path, columns=["text"])["text"].to_pylist()]
+    sizes = np.array([n for n in lengths if n < 1024])
+    assert packing.pack(sizes).max() + 1 <= 1.005 * sizes.sum() / 1024
+
+
 def test_little_waste():
     sizes = np.random.default_rng(0).integers(1, 1024, 5000)
     filled = np.bincount(packing.pack(sizes), sizes)
