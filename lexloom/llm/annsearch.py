@@ -4,9 +4,14 @@ The two halves of a vector are quantised apart, each by its own K centres, so
 that a row's cell is a pair of centres. For a query the pairs are traversed in
 order of the summed inner products of the halves with a heap (the multi-sequence
 algorithm), until the cells passed hold enough rows; these are reranked by the
-exact inner product. Equal vectors are one entry. Entries are dealt out by their
-first centre to groups of bounded size, queries to blocks; each task reranks a
-block of queries within a group and returns the best of each query only.
+exact inner product. How many are enough is measured when the index is fitted:
+the share of rows whose cells hold RECALL of the true neighbours of pilot queries
+in the sample. So clustered vectors need few cells and isotropic ones many.
+
+Equal vectors are one entry. Entries are sorted by cell once and stay where they
+are: queries go to them in blocks of bounded size, with the sum at which their
+traversal ended, and each task streams its entries and returns the best of each
+query only. The shuffle is one of the entries and one of tasks times queries.
 """
 
 from __future__ import annotations
@@ -24,11 +29,12 @@ from pyspark.sql import functions as F
 from lexloom.llm.common import cut_lineage, table
 from lexloom.llm.vectors import bounded_sample, k_means, matrix, usable
 
-#: Vectors that the centres are fitted on, at most.
-SAMPLE = 8192
-GROUP, QUERIES, TILE = 16_384, 2_048, 256
-#: Of all entries the share that a query's cells must hold, and the entries they must hold at least.
-SHARE, LEAST = 0.5, 2_000
+#: Vectors that the index is fitted on, at most, and of these the pilot queries.
+SAMPLE, PILOTS = 8192, 512
+#: Of the pilot queries' true neighbours the part that the cells passed must hold.
+RECALL = 0.95
+#: Centres of a half, at most; queries that go to the entries at once; entries compared at once; entries of a task, about.
+CENTRES, QUERIES, TILE, TASK_ROWS = 256, 4096, 512, 1 << 20
 
 
 @dataclass
@@ -48,18 +54,18 @@ class MultiIndex:
     def _near(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
         return np.argmax(x @ centres.T - 0.5 * (centres**2).sum(1), 1)
 
-    def traverse(self, query: np.ndarray, wanted: int) -> np.ndarray:
-        """Return the pairs with the largest summed inner products that hold ``wanted`` entries together."""
+    def traverse(self, query: np.ndarray, wanted: int) -> tuple[np.ndarray, float]:
+        """Return the pairs with the largest summed inner products that hold ``wanted`` entries together, and the last sum."""
         h = self.first.shape[1]
         one, two = self.first @ query[:h], self.second @ query[h:]
         a, b = np.argsort(-one, kind="stable").tolist(), np.argsort(-two, kind="stable").tolist()
         one, two = one[a].tolist(), two[b].tolist()
-        width, counts = len(b), self.counts.tolist() if not isinstance(self.counts, list) else self.counts
+        width, counts = len(b), self.counts
         taken, found = [0] * len(a), []  # how many pairs of each row have been passed: a row is passed from its left
         heap = [(-(one[0] + two[0]), 0, 0)]
-        held = 0
+        held, last = 0, math.inf
         while heap and held < wanted:
-            _, u, v = heapq.heappop(heap)
+            last, u, v = heapq.heappop(heap)
             cell = a[u] * width + b[v]
             found.append(cell)
             held += counts[cell]
@@ -68,35 +74,30 @@ class MultiIndex:
                 heapq.heappush(heap, (-(one[u] + two[v + 1]), u, v + 1))
             if u + 1 < len(a) and taken[u + 1] == v:
                 heapq.heappush(heap, (-(one[u + 1] + two[v]), u + 1, v))
-        return np.array(found, np.int64)
-
-
-@dataclass
-class Groups:
-    """How entries are dealt out: centre i of the first half has ``parts[i]`` groups from ``begin[i]`` on; group g holds centres lo[g] to hi[g]."""
-
-    begin: np.ndarray
-    parts: np.ndarray
-    lo: np.ndarray
-    hi: np.ndarray
-
-    @classmethod
-    def of(cls, rows: np.ndarray) -> Groups:
-        begin, parts, lo, hi = [], [], [], []
-        size = 0
-        for i, n in enumerate(rows.tolist()):
-            many = max(1, -(-n // GROUP))
-            if lo and many == 1 and hi[-1] - lo[-1] and size + n <= GROUP:
-                begin.append(len(lo) - 1)
-                hi[-1] = i + 1
-                size += n
-            else:
-                begin.append(len(lo))
-                lo += [i] * many
-                hi += [i + 1] * many
-                size = n if many == 1 else GROUP
-            parts.append(many)
-        return cls(*(np.array(x, np.int64) for x in (begin, parts, lo, hi)))
+        return np.array(found, np.int64), -last
+
+    def sums(self, queries: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Return for each query the summed inner products of each of ``cells``."""
+        h, width = self.first.shape[1], len(self.second)
+        return (queries[:, :h] @ self.first.T)[:, cells // width] + (queries[:, h:] @ self.second.T)[:, cells % width]
+
+    def share(self, sample: np.ndarray, k: int, rows: int) -> float:
+        """Return the share of entries that cells must hold for RECALL of the true neighbours of pilot queries.
+
+        Among a sample the neighbours are taken that fall to it of each query's ``k`` among all ``rows``, one at least.
+        """
+        n = len(sample)
+        pilots = np.arange(min(PILOTS, n))
+        near = min(n - 1, max(1, round(k * n / rows)))
+        if near < 1:
+            return 1.0
+        true = sample[pilots] @ sample.T
+        true[pilots, pilots] = -np.inf
+        best = np.argpartition(-true, near - 1, axis=1)[:, :near]
+        sums = self.sums(sample[pilots], self.cells(sample))
+        ahead = np.sort(-sums, axis=1)
+        needed = [np.searchsorted(ahead[p], -sums[p, best[p]], side="right") / n for p in pilots]
+        return float(np.quantile(np.concatenate(needed), RECALL))
 
 
 def best_of(score: np.ndarray, q: np.ndarray, x: np.ndarray, low: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,14 +120,14 @@ def best_of(score: np.ndarray, q: np.ndarray, x: np.ndarray, low: np.ndarray, k:
     return at[keep], entry[keep], exact[keep]
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHARE, least: int = LEAST, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Return (query_id, rank, id, score): the ``k`` nearest rows found for each row whose id is divisible by ``every``.
 
     Nearness is the inner product in double precision; ties go to the smaller id.
     Vectors that are null, empty, zero or hold null or non-finite components,
     and rows without an id, take no part; only vectors of equal length are
-    compared. Rows that repeat id and vector are one row. With at most
-    ``least`` different vectors all are searched. An empty table gives no rows.
+    compared. Rows that repeat id and vector are one row. An empty table gives no
+    rows. Other columns, whatever their names, are not looked at.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("_vec")).where(F.col("id").isNotNull() & usable(F.col("_vec")))
     rows = rows.withColumns({"_h": F.xxhash64("_vec"), "_g": F.xxhash64("_vec", F.lit(1))})  # 128 bits name a vector
@@ -138,7 +139,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHA
     asked = rows.where(F.col("id") % every == 0)
     out = None
     for n, count in entries.groupBy(F.size("_vec").alias("n")).count().orderBy("n").collect():  # in general one length
-        part = of_length(entries.where(F.size("_vec") == n), asked.where(F.size("_vec") == n), n, count, k, share, least)
+        part = of_length(entries.where(F.size("_vec") == n), asked.where(F.size("_vec") == n), n, count, k)
         out = part if out is None else out.unionByName(part)
     if out is None:
         return asked.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), "id", F.lit(0.0).alias("score"))
@@ -151,75 +152,90 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHA
     return joined.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
-def of_length(entries: DataFrame, asked: DataFrame, n: int, count: int, k: int, share: float, least: int) -> DataFrame:
-    """Return (_h, _g, score, ids): for each asked vector the best entries found in each group."""
-    spark = entries.sparkSession
+def of_length(entries: DataFrame, asked: DataFrame, n: int, count: int, k: int) -> DataFrame:
+    """Return (_h, _g, score, ids): for each asked vector the best entries found by each task."""
+    context = entries.sparkSession.sparkContext
     sample = bounded_sample(entries, SAMPLE)
-    centres = min(1024, max(1, round(5 * count**0.25)))
+    centres = min(CENTRES, max(1, round(0.5 * math.sqrt(count))))
     index = MultiIndex(k_means(sample[:, : n // 2], centres, False) if n > 1 else np.zeros((1, 0)), k_means(sample[:, n // 2 :], centres, False))
-    bare = spark.sparkContext.broadcast(index)  # at most 1024 centres a half
-
-    def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cell, rows = np.unique(bare.value.cells(matrix(batch.column(0))), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(rows)], ["cell", "rows"])
-
-    counts = np.zeros((len(index.first), len(index.second)), np.int64)
-    for r in entries.select("_vec").mapInArrow(count_cells, "cell long, rows long").groupBy("cell").agg(F.sum("rows").alias("rows")).collect():  # at most centres squared
-        counts.flat[r["cell"]] = r["rows"]
-    index = MultiIndex(index.first, index.second, counts.ravel().tolist())
-    groups = Groups.of(counts.sum(1))
-    queries = asked.groupBy("_h", "_g").agg(F.first("_vec").alias("_vec"))
-    blocks = max(1, -(-queries.count() // QUERIES))
-    shared = spark.sparkContext.broadcast((index, groups))
-    wanted = min(count, max(least, math.ceil(share * count)))
+    wanted = max(k + 1, math.ceil(index.share(sample, k, count) * count))
+    bare = context.broadcast(index)  # at most CENTRES a half
     kind = entries.schema["_vec"].dataType.simpleString()
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, groups = shared.value
+    def in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell = index.cells(matrix(batch.column(2)))
-            i = cell // len(index.second)
-            group = groups.begin[i] + np.asarray(batch.column(0)).view(np.uint64) % groups.parts[i].astype(np.uint64)
-            at = np.repeat(np.arange(len(cell)), blocks)
-            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(at)).columns, pa.array(cell[at]), pa.array(group[at].astype(np.int64)), pa.array(np.tile(np.arange(blocks), len(cell)))], ["_h", "_g", "_vec", "ids", "cell", "group", "block"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bare.value.cells(matrix(batch.column(2))))], ["_h", "_g", "_vec", "ids", "cell"])
+
+    tasks = max(context.defaultParallelism, -(-count // TASK_ROWS))
+    placed = entries.select("_h", "_g", "_vec", "ids").mapInArrow(in_cells, f"_h long, _g long, _vec {kind}, ids array<long>, cell long")
+    # Cells lie together, and a large one may lie in several tasks.
+    placed = cut_lineage(placed.repartitionByRange(tasks, "cell", "_h").sortWithinPartitions("cell"))
+    counts = np.zeros(len(index.first) * len(index.second), np.int64)
+    for r in placed.groupBy("cell").count().collect():  # at most CENTRES squared
+        counts[r["cell"]] = r["count"]
+    shared = context.broadcast(MultiIndex(index.first, index.second, counts.tolist()))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, groups = shared.value
-        width = len(index.second)
+        index = shared.value
+        for batch in batches:
+            ends = [index.traverse(query, wanted)[1] for query in matrix(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends, pa.float64())], ["_h", "_g", "_vec", "least"])
+
+    # By number, or adaptive execution would leave the few bytes of the queries to one task.
+    queries = asked.groupBy("_h", "_g").agg(F.first("_vec").alias("_vec")).repartition(tasks, "_h", "_g")
+    queries = cut_lineage(queries.mapInArrow(ask, f"_h long, _g long, _vec {kind}, least double"))
+    blocks = -(-queries.count() // QUERIES)
+    out = None
+    for b in range(blocks):
+        rows = queries.where(F.pmod("_h", F.lit(blocks)) == b).collect()  # about QUERIES rows
+        block = context.broadcast(([r["_h"] for r in rows], [r["_g"] for r in rows], np.array([r["_vec"] for r in rows], np.float64).reshape(len(rows), n), np.array([r["least"] for r in rows])))
+        part = placed.select("_vec", "ids", "cell").mapInArrow(searched(bare, block, k), "_h long, _g long, score double, ids array<long>")
+        out = part if out is None else out.unionByName(part)
+        if b % 16 == 15:  # keeps the plan short
+            out = cut_lineage(out)
+    return out if out is not None else placed.select("_h", "_g", F.lit(0.0).alias("score"), "ids").limit(0)
+
+
+def searched(index, block, k: int):
+    """Return the function that streams entries (_vec, ids, cell) past a block of queries and gives the best ``k`` + 1 of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, g, queries, least = block.value
+        if not h:
+            return
+        slack = 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
+        best = pa.table({"who": pa.array([], pa.int64()), "low": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "ids": pa.array([], pa.list_(pa.int64()))})
         for batch in batches:
-            x = matrix(batch.column(2))
-            block = np.asarray(batch.column(0)).view(np.uint64) % np.uint64(blocks)
-            for at, query in enumerate(x):
-                chosen = np.zeros(len(index.first) * width, bool)
-                chosen[index.traverse(query, wanted)] = True
-                masks = [chosen[lo * width : hi * width] for lo, hi in zip(groups.lo.tolist(), groups.hi.tolist(), strict=True)]
-                some = [g for g, m in enumerate(masks) if m.any()]
-                yield pa.RecordBatch.from_arrays([*batch.take(pa.array([at] * len(some))).columns, pa.array([np.packbits(masks[g]).tobytes() for g in some], pa.binary()), pa.array(some, pa.int64()), pa.array([int(block[at])] * len(some), pa.int64())], ["_h", "_g", "_vec", "mask", "group", "block"])
-
-    def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
-        index, groups = shared.value
-        names = ["_h", "_g", "score", "ids"]
-        out = [pa.table({"_h": pa.array([], pa.int64()), "_g": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "ids": pa.array([], pa.list_(pa.int64()))})]
-        if len(left) and len(right):
-            g = left["group"][0].as_py()
-            x, low = matrix(left["_vec"]), np.array([r[0] for r in left["ids"].to_pylist()])
-            place = left["cell"].to_numpy() - groups.lo[g] * len(index.second)
-            size = int(groups.hi[g] - groups.lo[g]) * len(index.second)
-            masks = right["mask"].to_pylist()
-            q = matrix(right["_vec"])
-            for at in range(0, len(q), TILE):
-                part = q[at : at + TILE]
-                chosen = np.stack([np.unpackbits(np.frombuffer(m, np.uint8), count=size) for m in masks[at : at + TILE]]).astype(bool)
-                score = np.where(chosen[:, place], part @ x.T, -np.inf)
-                who, entry, exact = best_of(score, part, x, low, k + 1)
-                own = right.slice(at, TILE).take(pa.array(who))
-                out.append(pa.table(dict(zip(names, [own["_h"], own["_g"], pa.array(exact), left["ids"].take(pa.array(entry))], strict=True))))
-        return pa.concat_tables(out, promote_options="permissive")
-
-    dealt = entries.select("_h", "_g", "_vec", "ids").mapInArrow(deal, f"_h long, _g long, _vec {kind}, ids array<long>, cell long, group long, block long")
-    probes = queries.select("_h", "_g", "_vec").mapInArrow(ask, f"_h long, _g long, _vec {kind}, mask binary, group long, block long")
-    return dealt.groupBy("group", "block").cogroup(probes.groupBy("group", "block")).applyInArrow(rerank, "_h long, _g long, score double, ids array<long>")
+            x, ids, cell = matrix(batch.column(0)), batch.column(1), batch.column(2).to_numpy()
+            low = np.asarray(ids.flatten())[np.asarray(ids.offsets)[:-1] - ids.offsets[0].as_py()]
+            cells, place = np.unique(cell, return_inverse=True)
+            passed = index.value.sums(queries, cells) >= (least - slack)[:, None]
+            for at in range(0, len(x), TILE):
+                some = place[at : at + TILE]
+                here = passed[:, some]
+                asking = np.flatnonzero(here.any(1))
+                for lo in range(0, len(asking), TILE):
+                    rows = asking[lo : lo + TILE]
+                    score = np.where(here[rows], queries[rows] @ x[at : at + TILE].T, -np.inf)
+                    who, entry, exact = best_of(score, queries[rows], x[at : at + TILE], low[at : at + TILE], k + 1)
+                    part = {"who": rows[who], "low": low[at + entry], "score": exact, "ids": ids.take(pa.array(at + entry))}
+                    best = pa.concat_tables([best, pa.table(part)])
+                if len(best) > 4 * (k + 1) * len(h):
+                    best = foremost(best, k + 1)
+        best = foremost(best, k + 1)
+        who = best["who"].to_numpy()
+        if len(who):
+            yield from pa.table({"_h": np.array(h, np.int64)[who], "_g": np.array(g, np.int64)[who], "score": best["score"], "ids": best["ids"]}).combine_chunks().to_batches(max_chunksize=10_000)
+
+    return run
+
+
+def foremost(found: pa.Table, k: int) -> pa.Table:
+    """Return the ``k`` best rows of each query; ties go to the smaller id."""
+    who, score, low = (found[c].to_numpy() for c in ("who", "score", "low"))
+    order = np.lexsort((low, -score, who))
+    first = np.searchsorted(who[order], who[order])
+    return found.take(pa.array(order[np.arange(len(order)) - first < k]))
 
 
 def op4_nearest_neighbours(spark, sf_dir: str) -> DataFrame:

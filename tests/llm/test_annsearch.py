@@ -1,8 +1,10 @@
 """The inverted multi-index: exact parts, recall against brute force, edge cases."""
 
 import math
+import os
 
 import numpy as np
+import pytest
 
 from lexloom.llm import annsearch
 
@@ -18,8 +20,10 @@ def brute(rows, every, k):
 
 
 def test_whole_search_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(annsearch, "GROUP", 50)
+    monkeypatch.setattr(annsearch, "TILE", 50)
     monkeypatch.setattr(annsearch, "QUERIES", 7)
+    monkeypatch.setattr(annsearch, "RECALL", 1.0)
+    monkeypatch.setattr(annsearch.MultiIndex, "share", lambda *_: 1.0)
     rng = np.random.default_rng(1)
     rows = [(int(k), rng.integers(-3, 4, 6).astype(float).tolist()) for k in rng.permutation(900)[:400]]
     rows += [(1000 + k, [9.0] + [1.0] * 5) for k in range(60)] + [rows[0]]
@@ -34,23 +38,48 @@ def test_traversal_is_in_order():
     index = annsearch.MultiIndex(rng.normal(size=(9, 3)), rng.normal(size=(7, 5)), rng.integers(0, 5, 63).tolist())
     q = rng.normal(size=8)
     sums = ((index.first @ q[:3])[:, None] + index.second @ q[3:]).ravel()
-    assert index.traverse(q, 10**9).tolist() == np.argsort(-sums).tolist()
-    part = index.traverse(q, 20)
+    assert index.traverse(q, 10**9)[0].tolist() == np.argsort(-sums).tolist()
+    part, last = index.traverse(q, 20)
+    assert last == sums[part[-1]] and np.allclose(index.sums(q[None], np.arange(63))[0], sums)
     held = np.cumsum(np.array(index.counts)[part])
     assert held[-1] >= 20 > held[-2]
 
 
-def test_recall(spark):
-    rng = np.random.default_rng(3)
-    x = rng.normal(size=(6000, 64))
-    x /= np.linalg.norm(x, axis=1)[:, None]
+def recall(spark, x):
     df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
     got = {(r["query_id"], r["id"]) for r in annsearch.nearest(df).collect()}
     x = x.astype(np.float32).astype(float)
-    s = x[::20] @ x.T
-    s[np.arange(300), np.arange(0, 6000, 20)] = -9
-    want = {(20 * q, int(i)) for q, row in enumerate(np.argsort(-s, 1)[:, :20]) for i in row}
-    assert len(got) == 6000 and len(got & want) >= 0.9 * len(want)
+    asked = np.arange(0, len(x), 20)
+    s = x[asked] @ x.T
+    s[np.arange(len(asked)), asked] = -np.inf
+    want = {(int(asked[q]), int(i)) for q, row in enumerate(np.argpartition(-s, 19, 1)[:, :20]) for i in row}
+    assert len(got) == 20 * len(asked)
+    return len(got & want) / len(want)
+
+
+@pytest.mark.parametrize("n", [500, 2000, 12000])
+def test_recall_on_isotropic_vectors(spark, n):
+    x = np.random.default_rng(3).normal(size=(n, 64))
+    assert recall(spark, x / np.linalg.norm(x, axis=1)[:, None]) >= 0.9
+
+
+def test_recall_and_few_cells_on_clustered_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(100, 64))[rng.integers(0, 100, 8000)] + 0.3 * rng.normal(size=(8000, 64))
+    assert recall(spark, x) >= 0.9
+    sample = x[:4000]
+    index = annsearch.MultiIndex(annsearch.k_means(sample[:, :32], 45, False), annsearch.k_means(sample[:, 32:], 45, False))
+    assert index.share(sample, 20, 8000) < 0.1
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_recall_on_the_tables(spark, folder):
+    path = f"/root/testdata/{folder}/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("needs the tables")
+    rows = spark.read.parquet(path).select("vec_id", "embedding").collect()
+    x = np.array([r["embedding"] for r in rows if r["embedding"] is not None and None not in r["embedding"]], np.float64)
+    assert recall(spark, x) >= 0.9
 
 
 def test_empty(spark):
