@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,17 +41,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the session's shared checkpoint folder, so that several uses don't compute it again.
+def shared_folder(spark: SparkSession) -> str:
+    """Return the folder for intermediate tables: the one that ``spark.checkpoint.dir`` names.
 
-    Only where the session names no folder (on one machine) a temporary one is used.
+    Where the session names none a temporary folder is used, on a local master
+    only: executors of a cluster could not read what others wrote there.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if named is None and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's shared checkpoint folder, so that several uses don't compute it again."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to a new table in the shared folder and return it read back.
+
+    Like :func:`cut_lineage`, but compressed and with pruned columns when read;
+    the table goes when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).deleteOnExit(place)
+    return spark.read.parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Return ``df`` in at least as many partitions as there are cores.
 
