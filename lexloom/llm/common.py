@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.session import cut_lineage, spread, table
+from lexloom.session import cut_lineage, spread, table, written
 
-__all__ = ["WORD", "crc_fold", "cut_lineage", "labelled_sample", "spread", "table"]
+__all__ = ["WORD", "crc_fold", "cut_lineage", "labelled_sample", "spread", "table", "unused", "written"]
 
 #: A word: bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def unused(name: str, taken: Iterable[str]) -> str:
+    """Return ``name`` with as many underscores after it as make it differ from all names that are taken."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def crc_fold(key: str, folds: int) -> Column:
     """Return crc32(key as text) mod ``folds``; null keys fall in fold null."""
     return F.crc32(F.col(key).cast("string")) % folds

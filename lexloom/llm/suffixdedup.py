@@ -2,24 +2,39 @@
 
 A string of ``length`` bytes that starts in two places is found in three steps.
 
-1. Anchors. In every window of ``length`` bytes the leftmost smallest hash of its
-   64-byte substrings is chosen, so equal windows choose the same anchor at the
-   same place. Each window start belongs to one anchor; an anchor's *stretch* is
-   the text of the windows that chose it. Only stretches whose anchor occurs more
-   than once can hold a repeated string, and of these only such that share a long
-   core (the bytes that neighbouring windows have in common) with another.
+1. Anchors, in one pass over the texts. In every window of ``length`` bytes the
+   leftmost smallest hash of its 64-byte substrings is chosen, so equal windows
+   choose the same anchor at the same place. Each window start belongs to one
+   anchor; an anchor's *stretch* is the text of the windows that chose it. Only
+   stretches whose anchor occurs more than once can hold a repeated string, and of
+   these only such that share a long core (the bytes that neighbouring windows
+   have in common) with another.
 2. Index. The distinct stretches of an anchor meet in one shard. There the
    suffix array of all of them gives the Burrows-Wheeler transform, of which the
-   runs are kept with the suffixes at their ends. At a run's ends the common
-   prefix with the neighbouring suffix is measured; inside runs it falls by one
-   from each text position to the next, so that one pass along the text streams
-   the matching statistics of every position with all others.
+   runs are kept, as letters and lengths, with the suffixes at their ends. The
+   transform is used through these sampled run ends: by its properties a common
+   prefix with the neighbouring suffix has to be measured at the ends of runs
+   only; inside a run it falls by one from each text position to the next, so
+   that one pass along the text streams the matching statistics of every position.
+   The anchor says where to look, so no backward search (LF step) is needed.
 3. Marks. Matches of ``length`` or more are mapped back to all documents that
    hold the stretch and joined to maximal spans.
 
-Stretches that occur more than once as a whole are marked without a look at the
-index (which holds them once). Anchors with more than ``CAP`` distinct stretches
-are compared by hashes of all their strings instead, which spreads them evenly.
+What is known to repeat without a search is not indexed twice: a stretch that
+occurs more than once (by two 64-bit hashes, the anchor's and its own) is marked
+as a whole, and is in the index once, for the others to be compared with.
+
+Where an anchor's stretches are too many bytes for one index, they are cut into
+those of a window group, STEPS[0] neighbouring window starts each, and grouped by
+the core of these; what is still too large is cut more finely, down to single
+windows, of which equal ones are one. So no index is larger than CROWD_BYTES and
+nothing is left out.
+
+Very long texts are read in segments of SEGMENT window starts. In a run of a
+short period (one letter, or up to 64 bytes over and over) nearly every window
+would have an anchor of its own. If the run is longer than a window and a period,
+all its windows repeat within it: the run is marked at once, and only the windows
+of its first period go on, for other texts to be compared with.
 """
 
 from __future__ import annotations
@@ -33,14 +48,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import cut_lineage, table
+from lexloom.llm.common import cut_lineage, table, unused, written
 from lexloom.llm.textkernel import texts_of
 
 GRAM = 64
 #: Neighbouring window starts that are judged by one core.
 STEP = 96
-#: Bytes of stretches in one shard, about; distinct stretches of an anchor that are indexed together at most.
-SHARD_BYTES, CAP = 1_500_000, 1_000
+#: Bytes of stretches in one shard, about, and of one index, at most (but for a single stretch); how crowds are cut.
+SHARD_BYTES, CROWD_BYTES, STEPS = 1_000_000, 250_000, (96, 12, 1)
+#: Window starts of a text that are looked at together, and rows that leave a task together.
+SEGMENT, ROWS = 1 << 20, 50_000
 
 
 def grams(text: np.ndarray) -> np.ndarray:
@@ -75,6 +92,61 @@ def anchors(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return place[first], g[place[first]], first, np.concatenate([first[1:], [count]]) - 1
 
 
+def periodic_runs(text: np.ndarray, place: np.ndarray, h: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+    """Return (begin, end, period) of the runs of a period of up to GRAM bytes that are longer than a window and a period.
+
+    In such a run the same substring is chosen again after each period, so
+    neighbouring anchors of equal hash say where to look; the bytes decide.
+    """
+    gap = np.diff(place)
+    same = (h[1:] == h[:-1]) & (gap <= GRAM)
+    at = np.flatnonzero(same)
+    if not len(at):
+        return []
+    out: list[tuple[int, int, int]] = []
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(at) > 1) | (gap[at[1:]] != gap[at[:-1]])]))
+    for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(at)], strict=True):
+        period, begin, end = int(gap[at[lo]]), int(place[at[lo]]), int(place[at[hi - 1] + 1]) + GRAM
+        if out and end <= out[-1][1]:
+            continue
+        if (text[begin : end - period] != text[begin + period : end]).any():
+            continue
+        back = text[max(0, begin - length) : begin] != text[max(0, begin - length) + period : begin + period]
+        begin -= int(np.argmax(back[::-1])) if back.any() else len(back)
+        more = text[end : end + length] != text[end - period : end - period + len(text[end : end + length])]
+        end += int(np.argmax(more)) if more.any() else len(more)
+        if end - begin >= length + period:
+            out.append((begin, end, period))
+    return out
+
+
+def without(first: np.ndarray, last: np.ndarray, gone: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Return (index, first, last) of what stays of neighbouring ranges when the ranges ``gone`` (in order, ends included) are cut out."""
+    bounds = np.array([(a, b) for a, b in gone if a <= b], np.int64).reshape(-1, 2)
+    begin = np.concatenate([[first[0]], bounds[:, 1] + 1])
+    end = np.concatenate([bounds[:, 0] - 1, [last[-1]]])
+    begin, end = begin[begin <= end], end[begin <= end]
+    starts = np.unique(np.concatenate([first, begin]))
+    part = np.searchsorted(begin, starts, side="right") - 1
+    inside = (part >= 0) & (starts <= end[np.maximum(part, 0)])
+    starts, part = starts[inside], part[inside]
+    which = np.searchsorted(first, starts, side="right") - 1
+    return which, starts, np.minimum(last[which], end[part])
+
+
+def segments(text: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]]:
+    """Yield (place, hash, first, last) of the anchors of each segment of a text, and the runs of it that are gone at once."""
+    whole = np.frombuffer(text, np.uint8)
+    for at in range(0, len(text) - length + 1, SEGMENT):
+        part = whole[at : min(at + SEGMENT, len(text) - length + 1) + length - 1]
+        place, h, first, last = anchors(part, length)
+        runs = periodic_runs(part, place, h, length)
+        if runs:
+            which, first, last = without(first, last, [(a + period, b - length) for a, b, period in runs])
+            place, h = place[which], h[which]
+        yield place + at, h, first + at, last + at, [(a + at, b + at) for a, b, _ in runs]
+
+
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """Return the suffix array of ``t`` (the end sorts first): by 8 bytes, then doubling what is still tied."""
     n = len(t)
@@ -126,7 +198,7 @@ def common(t: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class RunIndex:
-    """The run-length BWT of a text with the suffixes at the runs' ends."""
+    """The run-length BWT of a text: letters and lengths of its runs, and the suffixes at the runs' ends with their neighbours."""
 
     def __init__(self, t: np.ndarray) -> None:
         self.t = t
@@ -201,51 +273,171 @@ def name_of(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit(1)).alias("t2")]
 
 
+def cores_of(place: np.ndarray, first: np.ndarray, last: np.ndarray, step: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Return (index, group, begin, end) of the cores of ranges of window starts.
+
+    Window starts are grouped by their distance to the anchor, ``step`` to a
+    group; the core of a group is what all its windows have in common.
+    """
+    low, high = (place - last) // step, (place - first) // step
+    index = np.repeat(np.arange(len(place)), high - low + 1)
+    group = np.arange(len(index)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[index]
+    begin = place[index] - step * group
+    return index, group, np.maximum(begin, 0), begin - step + 1 + length
+
+
+def hashes(text: bytes, begin: np.ndarray, end: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    digest = xxhash.xxh3_64_intdigest
+    return np.array([digest(text[a:b], k) for a, b, k in zip(begin.tolist(), end.tolist(), seed.tolist(), strict=True)], np.uint64).view(np.int64)
+
+
 def stretches_of(texts: DataFrame, length: int) -> DataFrame:
-    """Return a row for each anchor of the column _text: (t1, t2, first, size, anchor, whole, many, cores).
+    """Return a row for each stretch of the column _text: (t1, t2, first, size, anchor, at, whole, many, cores).
 
     Copies of a text in one batch are one row with their number as ``many``.
-    ``whole`` is the stretch's hash with the anchor's place in it; ``cores``
-    are the hashes of its cores, each with the steps from the anchor.
+    ``at`` is the anchor's place in the stretch, ``whole`` the stretch's hash with
+    that place in it; ``cores`` are the hashes of its cores, each with the steps
+    from the anchor. A row without an anchor is a run that repeats within itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["t1", "t2", "first", "size", "anchor", "whole", "many", "cores"]
         for batch in batches:
             copies = Counter(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-            rows: list[tuple] = []
+            held: list[pa.RecordBatch] = []
             for (a, b), text in first_copies(batch):
-                many = copies[a, b]
-                for place, h, lo, hi in zip(*(x.tolist() for x in anchors(np.frombuffer(text, np.uint8), length)), strict=True):
-                    whole = xxhash.xxh3_64_intdigest(text[lo : hi + length], place - lo)
-                    cores = []
-                    for k in range((place - hi) // STEP, (place - lo) // STEP + 1):
-                        core = text[max(0, place - STEP * k) : place - STEP * k - STEP + 1 + length]
-                        cores.append(as_long(xxhash.xxh3_64_intdigest(core, k)))
-                    rows.append((a, b, lo, hi + length - lo, as_long(h), as_long(whole), many, cores))
-                if len(rows) > 50_000:
-                    yield _batch(rows, names)
-                    rows = []
-            yield _batch(rows, names)
+                for found in segments(text, length):
+                    held.append(_rows(a, b, copies[a, b], text, length, *found))
+                    if sum(map(len, held)) > ROWS:
+                        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                        held = []
+            if held:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    return texts.select(*name_of(F.col("_text")), "_text").mapInArrow(run, "t1 long, t2 long, first long, size long, anchor long, at int, whole long, many long, cores array<long>")
+
+
+def _rows(a: int, b: int, many: int, text: bytes, length: int, place: np.ndarray, h: np.ndarray, first: np.ndarray, last: np.ndarray, runs: list[tuple[int, int]]) -> pa.RecordBatch:
+    """Return the rows of one segment of a text, of its stretches and then of its runs."""
+    index, group, begin, end = cores_of(place, first, last, STEP, length)
+    cores = hashes(text, begin, end, group % (1 << 32))
+    whole = hashes(text, first, last + length, place - first)
+    more, n = len(runs), len(place)
+    run = np.array(runs, np.int64).reshape(-1, 2)
+    gone = np.arange(n + more) >= n
+    fill = lambda x, y: np.concatenate([x, y])
+    none = np.zeros(more, np.int64)
+    offsets = fill(np.searchsorted(index, np.arange(n + 1)), np.full(more, len(index)))
+    columns = [
+        np.full(n + more, a), np.full(n + more, b), fill(first, run[:, 0]), fill(last + length - first, run[:, 1] - run[:, 0]), pa.array(fill(h.view(np.int64), none), mask=gone),
+        pa.array(fill(place - first, none).astype(np.int32)), fill(whole, none), np.full(n + more, many), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(cores)),
+    ]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["t1", "t2", "first", "size", "anchor", "at", "whole", "many", "cores"])
+
+
+def finer(step: int, length: int):
+    """Return the function that cuts stretches into the texts of their window groups of ``step`` starts.
+
+    From (key, kind, many, at, bytes, anchor, whole, off) it makes the same columns: the new
+    key is the old one with the group and its core, the new kind the hash of the
+    group's text; ``off`` is its place in the stretch (anchor, whole) that marks go to.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: list[tuple] = []
+            for key, _, many, at, text, anchor, whole, off in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                first, last, place = np.array([0]), np.array([len(text) - length]), np.array([at])
+                _, group, begin, end = cores_of(place, first, last, step, length)
+                for k, lo, hi in zip(group.tolist(), begin.tolist(), end.tolist(), strict=True):
+                    from_, to = max(0, at - step * k - step + 1), min(len(text) - length, at - step * k) + length
+                    core = xxhash.xxh3_64_intdigest(text[lo:hi], (key ^ (k * 0x9E3779B97F4A7C15)) % 2**64)
+                    held.append((as_long(core), as_long(xxhash.xxh3_64_intdigest(text[from_:to], at - from_)), many, at - from_, text[from_:to], anchor, whole, off + from_))
+                if len(held) > 4 * ROWS // 10:
+                    yield _pieces(held)
+                    held = []
+            yield _pieces(held)
+
+    return run
+
+
+UNIT = "key long, kind long, many long, at int, bytes binary, anchor long, whole long, off long"
+
+
+def _pieces(held: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], t) for k, t in enumerate(types)], [f.split()[0] for f in UNIT.split(", ")])
 
-    return texts.select(*name_of(F.col("_text")), "_text").mapInArrow(run, "t1 long, t2 long, first long, size long, anchor long, whole long, many long, cores array<long>")
 
+SPANS = "array<struct<first: bigint, last: bigint>>"
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    types = [pa.int64()] * 7 + [pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
+
+def span(first: Column, last: Column) -> Column:
+    return F.array(F.struct(first.cast("long").alias("first"), last.cast("long").alias("last")))
+
+
+def indexed(units: DataFrame, length: int) -> DataFrame:
+    """Return (key, kind, spans) of what the distinct texts (kind, bytes) of each key have in common, by an index for each shard."""
+    total = units.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
+    shards = max(1, -(-total // SHARD_BYTES))
+
+    def index(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("key", "ascending"), ("kind", "ascending")])
+        key, texts = part["key"].to_numpy(), part["bytes"].to_pylist()
+        ends = np.flatnonzero(np.concatenate([key[1:] != key[:-1], [True]])) + 1  # keys stay whole
+        spans, lo, size = [], 0, 0
+        for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            own = sum(map(len, texts[begin:end]))
+            if size and size + own > CROWD_BYTES:
+                spans += matches_in(texts[lo:begin], length)
+                lo, size = begin, 0
+            size += own
+        spans += matches_in(texts[lo:], length)
+        lists = pa.array([[{"first": int(a), "last": int(b)} for a, b in zip(*s, strict=True)] for s in spans], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))
+        return pa.table({"key": part["key"], "kind": part["kind"], "spans": lists})
+
+    dealt = units.select("key", "kind", "bytes", F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
+    return dealt.groupBy("shard").applyInArrow(index, f"key long, kind long, spans {SPANS}").where(F.size("spans") > 0)
+
+
+def marks_of(content: DataFrame, length: int) -> DataFrame:
+    """Return (anchor, whole, spans) of the strings that the distinct stretches of each anchor have in common.
+
+    ``content``: anchor, whole, many, at, bytes. Each round indexes the groups
+    that fit and cuts the stretches of the others into finer groups.
+    """
+    pieces = content.select(F.col("anchor").alias("key"), F.col("whole").alias("kind"), "many", "at", "bytes", "anchor", "whole", F.lit(0).cast("long").alias("off"))
+    out = None
+    for round_, step in enumerate((None, *STEPS)):
+        if step is not None:
+            pieces = cut_lineage(pieces.mapInArrow(finer(step, length), UNIT))
+        units = cut_lineage(pieces.groupBy("key", "kind").agg(F.sum("many").alias("many"), F.first("bytes").alias("bytes"))) if round_ else pieces
+        sizes = cut_lineage(units.groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("size"), F.count("*").alias("kinds")).where("kinds > 1"))
+        found = indexed(units.join(sizes.where(F.col("size") <= CROWD_BYTES).select("key"), "key", "left_semi"), length)
+        if round_:
+            found = found.unionByName(units.where("many > 1").select("key", "kind", span(F.lit(0), F.octet_length("bytes")).alias("spans")))
+            found = pieces.select("key", "kind", "anchor", "whole", "off").join(found, ["key", "kind"])
+            found = found.select("anchor", "whole", F.transform("spans", lambda s: F.struct((s["first"] + F.col("off")).alias("first"), (s["last"] + F.col("off")).alias("last"))).alias("spans"))
+        else:
+            found = found.select(F.col("key").alias("anchor"), F.col("kind").alias("whole"), "spans")
+        out = found if out is None else out.unionByName(found)
+        crowds = sizes.where(F.col("size") > CROWD_BYTES).select("key")
+        if crowds.isEmpty():
+            break
+        pieces = pieces.join(crowds, "key", "left_semi")
+    return out
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, text_col: str = "text") -> DataFrame:
     """Return (t1, t2, spans) for each text with bytes covered by a string of ``length`` bytes that also starts elsewhere.
 
-    t1 and t2 name the text (see :func:`name_of`); spans are the maximal runs of
-    such bytes, in order. Null texts count as empty and have none; equal rows are
-    documents of their own, whose strings all repeat; an empty table gives no
-    rows. ``length`` must be at least 2 * GRAM.
+    t1 and t2 name the text (see :func:`name_of`); spans cover such bytes, in any
+    order. Null texts count as empty and have none; equal rows are documents of
+    their own, whose strings all repeat; an empty table gives no rows. Very long
+    texts are read in segments. ``length`` must be at least 2 * GRAM.
     """
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")).where(F.octet_length("_text") >= length)
-    every = stretches_of(texts, length)
+    found = written(stretches_of(texts, length))
+    every = found.where("anchor IS NOT NULL")
     # What is counted by a key is cut off before it is joined on that key: only then can a frequent key's rows be split.
     repeated = cut_lineage(every.groupBy("anchor").agg(F.sum("many").alias("n")).where("n > 1").select("anchor"))
     live = cut_lineage(every.join(repeated, "anchor", "left_semi"))
@@ -253,12 +445,12 @@ def repeated_spans(docs: DataFrame, length: int = 400, text_col: str = "text") -
     shared = cut_lineage(live.select("anchor", "many", F.explode("cores").alias("core")).groupBy("anchor", "core").agg(F.sum("many").alias("n")).where("n > 1").select("anchor", "core"))
     able = cut_lineage(live.select("anchor", "whole", F.explode("cores").alias("core")).join(shared, ["anchor", "core"], "left_semi").select("anchor", "whole").distinct())
     places = cut_lineage(live.drop("cores").join(able, ["anchor", "whole"], "left_semi"))
-    kinds = places.groupBy("anchor", "whole").agg(F.sum("many").alias("many"), F.first(F.struct("t1", "t2", "first", "size")).alias("at"))
-    kinds = cut_lineage(kinds.select("anchor", "whole", "many", "at.*"))
-    crowd = cut_lineage(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    kinds = places.groupBy("anchor", "whole").agg(F.sum("many").alias("many"), F.first("at").alias("at"), F.first(F.struct("t1", "t2", "first", "size")).alias("place"))
+    kinds = cut_lineage(kinds.select("anchor", "whole", "many", "at", "place.*"))
+    crowd = cut_lineage(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor"))
     wanted = kinds.join(crowd, "anchor")
     # The bytes of one stretch of each kind, from the texts that hold them.
-    per_text = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "size", "anchor", "whole", "many", "kinds")).alias("at"))
+    per_text = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "size", "anchor", "whole", "many", "at")).alias("wanted"))
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,44 +458,30 @@ def repeated_spans(docs: DataFrame, length: int = 400, text_col: str = "text") -
             yield pa.RecordBatch.from_arrays([pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64()), pa.array(held, pa.binary())], ["t1", "t2", "_bytes"])
 
     keyed = texts.select(*name_of(F.col("_text")), "_text").mapInArrow(once, "t1 long, t2 long, _bytes binary")
-    held = keyed.join(per_text, ["t1", "t2"]).select("_bytes", F.explode("at").alias("a"))
-    content = held.select("a.anchor", "a.whole", "a.many", "a.kinds", F.substring(F.col("_bytes"), F.col("a.first").cast("int") + 1, F.col("a.size").cast("int")).alias("bytes"))
-    content = cut_lineage(content.groupBy("anchor", "whole", "many", "kinds").agg(F.first("bytes").alias("bytes")))
-    total = content.where(F.col("kinds") <= CAP).agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
-    shards = max(1, -(-total // SHARD_BYTES))
-
-    def index(part: pa.Table) -> pa.Table:
-        spans = matches_in(part["bytes"].to_pylist(), length)
-        lists = pa.array([[{"first": int(a), "last": int(b)} for a, b in zip(*s, strict=True)] for s in spans], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))
-        return pa.table({"anchor": part["anchor"], "whole": part["whole"], "spans": lists})
-
-    span = "array<struct<first: bigint, last: bigint>>"
-    sharded = content.where(F.col("kinds") <= CAP).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    by_index = sharded.groupBy("shard").applyInArrow(index, f"anchor long, whole long, spans {span}")
-    by_hash = of_crowds(content.where(F.col("kinds") > CAP), length)
-    as_whole = kinds.where("many > 1").select("anchor", "whole", F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("size").alias("last"))).alias("spans"))
-    marks = by_index.where(F.size("spans") > 0).unionByName(by_hash).unionByName(as_whole)
+    held = keyed.join(per_text, ["t1", "t2"]).select("_bytes", F.explode("wanted").alias("a"))
+    content = held.select("a.anchor", "a.whole", "a.many", "a.at", F.substring(F.col("_bytes"), F.col("a.first").cast("int") + 1, F.col("a.size").cast("int")).alias("bytes"))
+    content = cut_lineage(content.groupBy("anchor", "whole", "many", "at").agg(F.first("bytes").alias("bytes")))
+    as_whole = kinds.where("many > 1").select("anchor", "whole", span(F.lit(0), F.col("size")).alias("spans"))
+    marks = marks_of(content, length).unionByName(as_whole)
     on_texts = places.select("anchor", "whole", "t1", "t2", F.col("first").alias("from")).distinct().join(marks, ["anchor", "whole"])
     moved = on_texts.select("t1", "t2", F.transform("spans", lambda s: F.struct((s["first"] + F.col("from")).alias("first"), (s["last"] + F.col("from")).alias("last"))).alias("spans"))
-    return moved.groupBy("t1", "t2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-
-
-def of_crowds(content: DataFrame, length: int) -> DataFrame:
-    """Return the marks of stretches whose anchor has very many kinds: all their strings are counted by a 128-bit hash."""
-    starts = content.select("anchor", "whole", "many", F.col("bytes"), F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)).alias("first"))
-    string = F.substring(F.col("bytes"), F.col("first") + 1, F.lit(length))
-    strings = starts.select("anchor", "whole", "many", F.col("first").cast("long").alias("first"), F.xxhash64(string).alias("s1"), F.xxhash64(string, F.lit(1)).alias("s2"))
-    twice = strings.groupBy("s1", "s2").agg(F.sum("many").alias("n")).where("n > 1").select("s1", "s2")
-    hit = strings.join(twice, ["s1", "s2"], "left_semi")
-    return hit.groupBy("anchor", "whole").agg(F.collect_list(F.struct("first", (F.col("first") + length).alias("last"))).alias("spans"))
+    within = found.where("anchor IS NULL").select("t1", "t2", span(F.col("first"), F.col("first") + F.col("size")).alias("spans"))
+    return moved.unionByName(within).groupBy("t1", "t2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def without_repeats(docs: DataFrame, length: int = 400, text_col: str = "text") -> DataFrame:
-    """Return ``docs`` with _bytes, _spans (maximal, in order) and _kept (the other bytes, joined)."""
-    spans = repeated_spans(docs, length, text_col).select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("spans").alias("_marks"))
+    """Return ``docs`` with _bytes, _spans (maximal, in order) and _kept (the other bytes, joined).
+
+    ``docs`` may have columns of any other names; one of these three raises an error.
+    """
     names = docs.columns
+    clash = {"_bytes", "_spans", "_kept"} & set(names)
+    if clash:
+        raise ValueError(f"columns of these names are made here: {sorted(clash)}")
+    spans = repeated_spans(docs, length, text_col)
     one, two = name_of(F.coalesce(F.col(text_col), F.lit("")))
-    joined = docs.withColumns({"_t1": one, "_t2": two}).join(spans, ["_t1", "_t2"], "left").select(*names, "_marks")
+    # The caller's columns travel as one, so that no name can clash.
+    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), one, two).join(spans, ["t1", "t2"], "left").select(*[F.col(f"row.`{c}`") for c in names], F.col("spans").alias(unused("_marks", names)))
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

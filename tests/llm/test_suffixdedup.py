@@ -1,6 +1,7 @@
 """Repeated strings through the run-length index against brute force."""
 
 import hashlib
+import os
 from collections import Counter
 
 import numpy as np
@@ -40,18 +41,93 @@ def corpus(rng):
     return texts
 
 
-@pytest.mark.parametrize(("cap", "shard"), [(1000, 1_500_000), (2, 3000)])
-def test_equals_brute_force(spark, monkeypatch, cap, shard):
-    monkeypatch.setattr(suffixdedup, "CAP", cap)
+def spans_of(out):
+    return sorted(((r["doc_id"], r["_bytes"], sum(s["last"] - s["first"] for s in r["_spans"]), len(r["_spans"]), hashlib.sha256(r["_kept"]).hexdigest()) for r in out), key=str)
+
+
+@pytest.mark.parametrize(("crowd", "shard", "segment"), [(250_000, 1_000_000, 1 << 20), (1500, 3000, 150), (0, 3000, 1 << 20)])
+def test_equals_brute_force(spark, monkeypatch, crowd, shard, segment):
+    """Also with indexes so small that groups are cut finely (0: down to single windows) and with short segments."""
+    monkeypatch.setattr(suffixdedup, "CROWD_BYTES", crowd)
     monkeypatch.setattr(suffixdedup, "SHARD_BYTES", shard)
+    monkeypatch.setattr(suffixdedup, "SEGMENT", segment)
     texts = corpus(np.random.default_rng(4))
     rows = [*enumerate(texts), (None, None), (3, texts[3]), (7, None)]
-    df = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, t1 string").repartition(4)
+    df = spark.createDataFrame([(d, t, "x", 1, 2) for d, t in rows], "doc_id long, text string, t1 string, _marks int, anchor int").repartition(4)
     out = suffixdedup.without_repeats(df).collect()
     want = brute([(t or "").encode() for _, t in rows], 400)
-    got = [(r["doc_id"], r["_bytes"], sum(s["last"] - s["first"] for s in r["_spans"]), len(r["_spans"]), hashlib.sha256(r["_kept"]).hexdigest()) for r in out]
-    assert sorted(got, key=str) == sorted(((d, *w) for (d, _), w in zip(rows, want, strict=True)), key=str)
+    assert spans_of(out) == sorted(((d, *w) for (d, _), w in zip(rows, want, strict=True)), key=str)
+    assert all((r["t1"], r["_marks"], r["anchor"]) == ("x", 1, 2) for r in out)
     assert suffixdedup.without_repeats(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="_kept"):
+        suffixdedup.without_repeats(df.withColumnRenamed("t1", "_kept"))
+
+
+@pytest.mark.parametrize("segment", [1 << 20, 333])
+def test_periodic_runs_equal_brute_force(spark, monkeypatch, segment):
+    monkeypatch.setattr(suffixdedup, "SEGMENT", segment)
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefgh "))
+    make = lambda n: "".join(rng.choice(letters, n))
+    texts = []
+    for period in (1, 2, 7, 63, 64, 65, 100, 200, 399, 400):
+        unit = make(period)
+        for n in (399, 400, 400 + period - 1, 400 + period, 700, 2000):
+            run = (unit * (n // period + 1))[:n]
+            texts.append(make(int(rng.integers(0, 40))) + run + make(int(rng.integers(0, 40))))
+    texts += [make(50) + "z" * 900 + make(500) + "z" * 420 + make(30), "z" * 400, ("no " * 300 + "yes ") * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert spans_of(suffixdedup.without_repeats(df).collect()) == sorted(((d, *w) for d, w in enumerate(brute([t.encode() for t in texts], 400))), key=str)
+
+
+def test_very_long_periodic_texts_have_few_rows(spark):
+    """20 MB of one letter, and of a short period: all goes, and no task holds a row for each byte."""
+    texts = ["a" * 20_000_000, "word " * 4_000_000, "x" + "a" * 399, "b" + "a" * 400]
+    assert sum(len(place) for text in texts[:2] for place, *_ in suffixdedup.segments(text.encode(), 400)) < 5_000
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (sum(s["last"] - s["first"] for s in r["_spans"]), len(r["_spans"])) for r in suffixdedup.without_repeats(df).collect()}
+    assert got == {0: (20_000_000, 1), 1: (20_000_000, 1), 2: (0, 0), 3: (400, 1)}
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_whole_tables_equal_brute_force(spark, folder):
+    path = f"/root/testdata/{folder}/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("needs the tables")
+    df = spark.read.parquet(path).select("doc_id", "text")
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in df.collect()}
+    # Windows by a rolling hash: its equal values are compared byte by byte.
+    base = 1_000_003
+    every, owner, start = [], [], []
+    for d, t in texts.items():
+        x = np.frombuffer(t, np.uint8).astype(np.uint64) + np.uint64(1)
+        if len(x) >= 400:
+            with np.errstate(over="ignore"):
+                power = np.cumprod(np.full(len(x), base, np.uint64))
+                sums = np.concatenate([[np.uint64(0)], np.cumsum(x * power)])
+                back = np.cumprod(np.full(len(x), pow(base, -1, 1 << 64), np.uint64))
+                h = (sums[400:] - sums[:-400]) * back[: len(x) - 399]
+            every.append(h)
+            owner.append(np.full(len(h), d))
+            start.append(np.arange(len(h)))
+    every, owner, start = np.concatenate(every), np.concatenate(owner), np.concatenate(start)
+    order = np.argsort(every, kind="stable")
+    same = every[order][1:] == every[order][:-1]
+    for k in np.flatnonzero(same)[:: max(1, int(same.sum()) // 2000)].tolist():
+        (a, i), (b, j) = ((int(owner[order[k + e]]), int(start[order[k + e]])) for e in (0, 1))
+        assert texts[a][i : i + 400] == texts[b][j : j + 400]
+    twice = np.zeros(len(every), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    gone = {d: np.zeros(len(t) + 1, np.int64) for d, t in texts.items()}
+    for d, i in zip(owner[twice].tolist(), start[twice].tolist(), strict=True):
+        gone[d][i] += 1
+        gone[d][i + 400 if i + 400 < len(gone[d]) else -1] -= 1
+    want = []
+    for d, t in texts.items():
+        cover = np.cumsum(gone[d])[: len(t)] > 0
+        edge = np.diff(np.concatenate([[0], cover.astype(int), [0]]))
+        want.append((d, len(t), int(cover.sum()), int((edge == 1).sum()), hashlib.sha256(np.frombuffer(t, np.uint8)[~cover].tobytes()).hexdigest()))
+    assert spans_of(suffixdedup.without_repeats(df).collect()) == sorted(want, key=str)
 
 
 def test_suffix_array_and_statistics():
