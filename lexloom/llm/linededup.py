@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import cut_lineage, table
+from lexloom.llm.common import cut_lineage, given_back, others, table
 
 BASE, MODULUS = 1_000_003, 2_147_483_647
 #: Of rolling hashes, one in so many is a candidate for a boundary.
@@ -60,18 +60,20 @@ def line_dedup(docs: DataFrame, spread: int = SPREAD, id_col: str = "doc_id", te
     of equal id and text are one document read twice: they get the same result
     and do not repeat one another. Null ids come after all others; rows of equal
     id come in order of a hash of the text. Lines end with a newline (not
-    removed lines are joined by one), and an empty table gives no rows.
+removed lines are joined by one), and an empty table gives no rows. Columns
+    of ``docs`` that have the names of the counts are replaced; all others stay.
     """
-    names = docs.columns
-    split = F.split(text_col, "\n")
-    base = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), "_th": F.xxhash64(text_col)})
+    made = ("_lines", "_chunks", "_removed_chunks", "_removed_lines")
+    row, names = others(docs, made, [text_col])
+    split = F.split("text", "\n")
+    base = docs.select(row, F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("_id"), F.xxhash64(text_col).alias("_th"))
 
     def texts(lines: Column) -> Column:
         cut = lambda c: F.array_join(F.slice(lines, c["first"], c["last"] - c["first"] + 1), "\n")
         whole = F.transform(chunks(lines, spread), lambda c, k: F.struct(k.alias("k"), (c["last"] > c["first"]).alias("many"), cut(c).alias("chunk")))
         return F.filter(whole, lambda c: c["many"])
 
-    rows = base.where(F.col(text_col).contains("\n")).select("_id", "_th", F.explode(let(split, texts)).alias("c"))
+    rows = base.where(F.col("text").contains("\n")).select("_id", "_th", F.explode(let(split, texts)).alias("c"))
     rows = rows.select("_id", "_th", F.col("c.k").alias("_k"), F.col("c.chunk").alias("_chunk")).withColumn("_h", F.xxhash64("_chunk"))
     spans = [f(c).alias(f"{n}{c}") for c in ("_id", "_th", "_k") for n, f in (("lo", F.min), ("hi", F.max))]
     # What is counted by a key is cut off before it is joined on that key: only then can a frequent chunk's rows be split.
@@ -84,18 +86,19 @@ def line_dedup(docs: DataFrame, spread: int = SPREAD, id_col: str = "doc_id", te
 
     def rebuilt(lines: Column) -> Column:
         def result(all_chunks: Column) -> Column:
-            gone = F.filter(all_chunks, lambda c, k: F.array_contains("_drop", k))
-            kept = F.filter(all_chunks, lambda c, k: ~F.array_contains("_drop", k))
-            removed = F.aggregate(gone, F.lit(0), lambda a, c: a + c["last"] - c["first"] + 1)
+            # By hash, so that a text of many chunks is not searched once for each.
+            stay = F.array_except(F.sequence(F.lit(0), F.size(all_chunks) - 1), "_drop")
+            kept = F.transform(stay, lambda k: F.get(all_chunks, k))
+            left = F.aggregate(kept, F.lit(0), lambda a, c: a + c["last"] - c["first"] + 1)
             text = F.array_join(F.flatten(F.transform(kept, lambda c: F.slice(lines, c["first"], c["last"] - c["first"] + 1))), "\n")
-            return F.struct(text.alias("text"), F.size(lines).alias("lines"), F.size(all_chunks).alias("chunks"), F.size(gone).alias("gone"), removed.alias("removed"))
+            return F.struct(text.alias("text"), F.size(lines).alias("lines"), F.size(all_chunks).alias("chunks"), (F.size(all_chunks) - F.size(kept)).alias("gone"), (F.size(lines) - left).alias("removed"))
 
         return let(chunks(lines, spread), result)
 
-    out = joined.withColumn("_drop", F.coalesce("_drop", F.array().cast("array<int>"))).withColumn("_r", F.when(F.col(text_col).isNotNull(), let(split, rebuilt)))
-    counted = {f"_{new}": F.coalesce(F.col(f"_r.{old}"), F.lit(0)) for new, old in (("lines", "lines"), ("chunks", "chunks"), ("removed_chunks", "gone"), ("removed_lines", "removed"))}
-    text = F.when(F.size("_drop") == 0, F.col(text_col)).otherwise(F.col("_r.text"))
-    return out.withColumns({text_col: text, **counted}).select(*names, *counted)
+    out = joined.withColumn("_drop", F.coalesce("_drop", F.array().cast("array<int>"))).withColumn("_r", F.when(F.col("text").isNotNull(), let(split, rebuilt)))
+    counted = [F.coalesce(F.col(f"_r.{old}"), F.lit(0)).alias(new) for new, old in zip(made, ("lines", "chunks", "gone", "removed"), strict=True)]
+    text = F.when(F.size("_drop") == 0, F.col("text")).otherwise(F.col("_r.text"))
+    return out.select(*given_back(names, {text_col: text}), *counted)
 
 
 def op1_line_dedup(spark, sf_dir: str) -> DataFrame:

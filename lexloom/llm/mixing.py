@@ -13,10 +13,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import WORD, cut_lineage, table
+from lexloom.llm.common import WORD, cut_lineage, given_back, others, table
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -25,14 +25,16 @@ BEFORE_WORD = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 
 
 def sizes(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Return ``docs`` with ``_size``: the words of the text, 0 where it is null."""
+    """Return ``docs`` with ``_size`` (which replaces a column of that name): the words of the text, 0 where it is null."""
     return docs.withColumn("_size", F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long"))
 
 
-def keyed(sized: DataFrame, buckets: int, id_col: str, source_col: str) -> DataFrame:
+def keyed(sized: DataFrame, row: Column, buckets: int, id_col: str, source_col: str) -> DataFrame:
+    """Return the row, id and size of each document with its source, its random key and the key's bucket."""
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     fraction = F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
-    return sized.withColumns({"_none": F.col(source_col).isNull(), "_source": F.coalesce(source_col, F.lit("")), "_key": key, "_bucket": F.shiftright(fraction * F.lit(buckets), 32)})
+    named = {"_none": F.col(source_col).isNull(), "_source": F.coalesce(source_col, F.lit("")), "_key": key, "_bucket": F.shiftright(fraction * F.lit(buckets), 32)}
+    return sized.select(row, F.col(id_col).alias("_id"), "_size", *[v.alias(k) for k, v in named.items()])
 
 
 def targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -59,39 +61,45 @@ def mix(sized: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, buck
     own. Empty texts take nothing, and an empty table gives no rows. The bucket
     count grows with the root of the rows, so that neither a source's buckets
     nor a bucket's rows are many for one task; the sources' own table, one row
-    for each, is sorted in one task.
+    for each, is sorted in one task. Columns of ``sized`` that have the names of
+    the results are replaced; all others stay.
     """
+    made = ("_source_size", "_target", "_taken")
+    row, names = others(sized, made)
     if buckets is None:
         buckets = 1 << max(8, min(20, math.ceil(math.log2(max(2, sized.count())) / 2)))
-    rows = keyed(sized, buckets, id_col, source_col)
+    rows = keyed(sized, row, buckets, id_col, source_col)
     per_bucket = rows.groupBy("_none", "_source", "_bucket").agg(F.sum("_size").alias("_words"))
     per_source = per_bucket.groupBy("_none", "_source").agg(F.sum("_words").alias("_total"))
     within = Window.partitionBy("_none", "_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.withColumn("_offset", F.coalesce(F.sum("_words").over(within), F.lit(0)))
     plan = offsets.drop("_words").join(targets(per_source, weights, cap), ["_none", "_source"])
-    in_bucket = Window.partitionBy("_none", "_source", "_bucket").orderBy("_key", id_col, "_size").rowsBetween(Window.unboundedPreceding, -1)
+    in_bucket = Window.partitionBy("_none", "_source", "_bucket").orderBy("_key", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("_begin", F.coalesce(F.sum("_size").over(in_bucket), F.lit(0))).join(plan, ["_none", "_source", "_bucket"])
     budget = F.floor(F.col("_target") + 0.5)
     whole = F.when(F.col("_total") > 0, F.floor(budget / F.col("_total"))).otherwise(0)
     left = budget - whole * F.col("_total") - F.col("_offset") - F.col("_begin")
     taken = F.col("_size") * whole + F.greatest(F.lit(0), F.least(F.col("_size"), left))
-    return placed.withColumn("_taken", taken.cast("long")).withColumnRenamed("_total", "_source_size").drop("_none", "_source", "_key", "_bucket", "_begin", "_offset")
+    return placed.select(*given_back(names), F.col("_total").alias("_source_size"), "_target", taken.cast("long").alias("_taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Return the mix itself: each row of ``docs`` as often as it is taken.
 
     Where the budget ends within a document, its last copy is cut after the
-    words taken (and n_chars, if there is such a column, is counted anew).
+    words taken (and n_chars, if there is such a column, is counted anew). Null
+    and empty texts are never taken; rows with null or repeated ids are rows of
+    their own; texts of any length are whole but for that last cut.
     """
-    rows = mix(sizes(docs, text_col), weights, cap, None, id_col, source_col).where("_taken > 0")
+    row, names = others(docs, (), [text_col])
+    slim = docs.select(row, F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    rows = mix(sizes(slim), weights, cap, None, "id", "source").where("_taken > 0")
     rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))))
     here = F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size"))
-    begin = F.array_join(F.slice(F.split(text_col, BEFORE_WORD), 1, here.cast("int")), "")
-    rows = rows.withColumn(text_col, F.when(here == F.col("_size"), F.col(text_col)).otherwise(begin))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    begin = F.array_join(F.slice(F.split("text", BEFORE_WORD), 1, here.cast("int")), "")
+    rows = rows.withColumn("text", F.when(here == F.col("_size"), F.col("text")).otherwise(begin))
+    out = rows.select(*given_back(names, {text_col: F.col("text")}))
+    return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:

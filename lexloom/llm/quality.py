@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lexloom.llm.common import crc_fold, labelled_sample, spread, table
+from lexloom.llm.common import crc_fold, fitted, given_back, labelled_sample, others, spread, table
 from lexloom.llm.textkernel import FOLDED, PLAIN, Words, blocks, texts_of, xxh64
 
 BUCKETS = 1 << 14
@@ -154,22 +154,21 @@ def score_quality(docs: DataFrame, model: Machine, text_col: str = "text", score
     column that has the name ``score_col`` already is replaced. Equal texts get
     equal scores, in whatever rows they stand.
     """
-    docs = docs.drop(score_col)
+    row, names = others(docs, [score_col], [text_col])
+    slim = docs.select(row, F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of one size, whatever the input
-    names = docs.columns
-    at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = shared.value.score(texts_of(batch.column(at)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*names, score_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(texts_of(batch.column(1))))], ["row", "text", "score"])
 
-    return spread(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
+    scored = spread(slim).mapInArrow(run, StructType([*slim.schema.fields, StructField("score", DoubleType())]))
+    return scored.select(*given_back(names, {text_col: F.col("text")}), F.col("score").alias(score_col))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: dict[int, int] = SAMPLE) -> Machine:
     """Fit on a bounded sample (``most`` rows of each class) of the rows whose crc32(doc_id) mod 5 is not 0."""
-    return fit(labelled_sample(docs, labels, "quality", crc_fold("doc_id", 5) != 0, most))
+    return fitted(labelled_sample(docs, labels, "quality", crc_fold("doc_id", 5) != 0, most), fit)
 
 
 def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:

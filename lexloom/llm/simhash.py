@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import cut_lineage, spread, table
+from lexloom.llm.common import cut_lineage, given_back, others, spread, table
 from lexloom.llm.components import components
 from lexloom.llm.textkernel import Words, blocks, texts_of, xxh64
 
@@ -207,11 +207,12 @@ def one_per_group(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str
     Of rows that repeat this id the one with the smallest text hash stays. Rows
     whose id is null can't be named and stay.
     """
-    kept = groups.where("id = component_id").select(F.col("id").alias("_kept")).distinct()
-    named = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))  # rows of one id
-    once = named.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
-    return once.unionByName(docs.where(F.col(id_col).isNull()))
+    row, names = others(docs, (), [text_col])
+    rows = docs.select(row, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    named = rows.join(groups.where("id = component_id").select("id").distinct(), "id", "left_semi")
+    first = Window.partitionBy("id").orderBy(F.xxhash64("text"))  # rows of one id
+    once = named.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
+    return once.unionByName(rows.where("id IS NULL").select(*once.columns)).select(*given_back(names, {text_col: F.col("text")}))
 
 
 def keep_one_per_group(docs: DataFrame, words: int = 5, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

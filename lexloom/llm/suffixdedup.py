@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import cut_lineage, table, unused, written
+from lexloom.llm.common import cut_lineage, given_back, others, table, written
 from lexloom.llm.textkernel import texts_of
 
 GRAM = 64
@@ -472,22 +472,17 @@ def repeated_spans(docs: DataFrame, length: int = 400, text_col: str = "text") -
 def without_repeats(docs: DataFrame, length: int = 400, text_col: str = "text") -> DataFrame:
     """Return ``docs`` with _bytes, _spans (maximal, in order) and _kept (the other bytes, joined).
 
-    ``docs`` may have columns of any other names; one of these three raises an error.
+    Columns of ``docs`` that have these names are replaced.
     """
-    names = docs.columns
-    clash = {"_bytes", "_spans", "_kept"} & set(names)
-    if clash:
-        raise ValueError(f"columns of these names are made here: {sorted(clash)}")
+    row, names = others(docs, ("_bytes", "_spans", "_kept"), [text_col])
     spans = repeated_spans(docs, length, text_col)
-    one, two = name_of(F.coalesce(F.col(text_col), F.lit("")))
-    # The caller's columns travel as one, so that no name can clash.
-    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), one, two).join(spans, ["t1", "t2"], "left").select(*[F.col(f"row.`{c}`") for c in names], F.col("spans").alias(unused("_marks", names)))
-    at = names.index(text_col)
+    one, two = name_of(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    slim = docs.select(row, F.col(text_col).alias("text"), one, two).join(spans, ["t1", "t2"], "left").select("row", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, lists, kept = [], [], []
-            for text, marks in zip(texts_of(batch.column(at)), batch.column(len(names)).to_pylist(), strict=True):
+            for text, marks in zip(texts_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 marks = marks or []
                 first, last = join_spans(np.array([m["first"] for m in marks], np.int64), np.array([m["last"] for m in marks], np.int64))
                 cut = [0, *np.stack([first, last], 1).ravel().tolist(), len(text)]
@@ -495,10 +490,10 @@ def without_repeats(docs: DataFrame, length: int = 400, text_col: str = "text")
                 sizes.append(len(text))
                 lists.append([{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)])
             kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes, pa.int64()), pa.array(lists, kind), pa.array(kept, pa.binary())], [*names, "_bytes", "_spans", "_kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(lists, kind), pa.array(kept, pa.binary())], ["row", "text", "_bytes", "_spans", "_kept"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["_bytes long, _spans array<struct<first: bigint, last: bigint>>, _kept binary"])
-    return joined.mapInArrow(run, schema)
+    schema = ", ".join([f"{c} {slim.schema[c].dataType.simpleString()}" for c in ("row", "text")] + [f"_bytes long, _spans {SPANS}, _kept binary"])
+    return slim.mapInArrow(run, schema).select(*given_back(names, {text_col: F.col("text")}), "_bytes", "_spans", "_kept")
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:

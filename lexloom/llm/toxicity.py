@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lexloom.llm.common import crc_fold, labelled_sample, spread, table
+from lexloom.llm.common import crc_fold, fitted, given_back, labelled_sample, others, spread, table
 from lexloom.llm.textkernel import Words, blocks, texts_of, xxh64
 
 #: The most labelled rows of each class that lexicon and weights are learned from.
@@ -282,21 +282,21 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, text_col: str = "text", sc
     Null texts count as empty and score as texts without a match; a column that
     has the name ``score_col`` already is replaced.
     """
-    docs = docs.drop(score_col)
+    row, names = others(docs, [score_col], [text_col])
+    slim = docs.select(row, F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(grammar)  # bounded by the sample that taught it
-    names = docs.columns
-    at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(texts_of(batch.column(at))))], [*names, score_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(texts_of(batch.column(1))))], ["row", "text", "score"])
 
-    return spread(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
+    scored = spread(slim).mapInArrow(run, StructType([*slim.schema.fields, StructField("score", DoubleType())]))
+    return scored.select(*given_back(names, {text_col: F.col("text")}), F.col("score").alias(score_col))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most: dict[int, int] = SAMPLE) -> Grammar:
     """Fit on a bounded sample (``most`` rows of each class) of the rows whose crc32(doc_id) mod 3 is not 1."""
-    return fit(labelled_sample(docs, labels, "toxic", crc_fold("doc_id", 3) != 1, most))
+    return fitted(labelled_sample(docs, labels, "toxic", crc_fold("doc_id", 3) != 1, most), fit)
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:

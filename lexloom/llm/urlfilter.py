@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from lexloom.llm.common import table
+from lexloom.llm.common import given_back, others, table
 
 #: (host, path, verdict)
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -120,7 +120,8 @@ def cascades(keys: DataFrame, lists: list[list[str]], per_key: float = 12.0) ->
     """Return one cascade for each of ``lists``, exact for all keys in the array column of ``keys``.
 
     Level 0 gets so many bits that about as many keys of the corpus pass by
-    chance as are listed; these strays, and nothing else, come to the driver.
+    chance as are listed; these strays, and nothing else, come to the driver. If
+    there are many times more of them, which chance rules out, an error is raised.
     """
     listed = [h[np.lexsort((h[:, 1], h[:, 0]))] for h in (hashes(sorted(set(x))) for x in lists)]
     total = keys.agg(F.coalesce(F.sum(F.size("_keys")), F.lit(0))).first()[0]
@@ -157,10 +158,13 @@ def url_filter(pages: DataFrame, rules: DataFrame, url_col: str = "url", otherwi
     A rule fits its host and all subdomains where the URL's path starts with the
     rule's. If a rule is given with both verdicts, it blocks. A null URL, one
     without ``://`` and any that no rule fits get ``otherwise``. An empty table
-    gives no rows; without rules every row gets ``otherwise``.
+    gives no rows; without rules every row gets ``otherwise``. Columns of
+    ``pages`` that have the names of the results are replaced; all others stay.
     """
+    made = ("_host", "_path", "_rule", "_verdict")
+    row, names = others(pages, made)
     host, path = host_and_path(F.col(url_col))
-    rows = pages.withColumns({"_host": host, "_path": path})
+    rows = pages.select(row, host.alias("_host"), path.alias("_path"))
     rules = rules.select(F.coalesce("host", F.lit("")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
     lengths = [r[0] for r in rules.select(F.length("path")).distinct().collect()]
     parts = max(1, -(-rules.count() // PART_RULES))
@@ -172,7 +176,8 @@ def url_filter(pages: DataFrame, rules: DataFrame, url_col: str = "url", otherwi
             listed[r["key"]] = "block" if "block" in (r["verdict"], listed.get(r["key"])) else "allow"
         rows = judged(rows, cascades(rows.select("_keys"), [[k for k, v in listed.items() if v == verdict] for verdict in ("allow", "block")]))
     rule = F.when(F.col("_at").isNotNull(), F.get("_keys", F.col("_at")))
-    return rows.withColumns({"_rule": rule, "_verdict": F.coalesce("_found", F.lit(otherwise))}).drop("_keys", "_at", "_found")
+    rows = rows.withColumns({"_rule": rule, "_verdict": F.coalesce("_found", F.lit(otherwise))})
+    return rows.select(*given_back(names), *made)
 
 
 def judged(rows: DataFrame, lists: list[list[Bloom]]) -> DataFrame:

@@ -47,9 +47,11 @@ def test_line_dedup_equals_brute_force(spark):
             lines[at:at] = passage[int(rng.integers(0, 4)) :]
         rows.append((d, "\n".join(lines)))
     rows += [(50, None), (51, ""), (52, "\n\n\n"), (53, "\n\n\n"), (None, rows[1][1]), (None, None), (3, rows[3][1]), (60, "\n".join(passage * 300))]
-    df = spark.createDataFrame([(d, t, "x", 5) for d, t in rows], "doc_id long, text string, _h string, n_lines int").repartition(3)
+    df = spark.createDataFrame([(d, t, "x", 5) for d, t in rows], "doc_id long, text string, _id string, _drop int").repartition(3)
     out = linededup.line_dedup(df)
     got = out.collect()
+    assert out.columns == ["doc_id", "text", "_id", "_drop", "_lines", "_chunks", "_removed_chunks", "_removed_lines"] and {(r["_id"], r["_drop"]) for r in got} == {("x", 5)}
+    assert linededup.line_dedup(df.withColumnRenamed("_id", "_lines")).columns == ["doc_id", "text", "_drop", "_lines", "_chunks", "_removed_chunks", "_removed_lines"]
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == brute_dedup(rows)
     assert sum(r["_removed_lines"] for r in got) > 300 and sum(r["_removed_chunks"] for r in got) > 50
     for r in got:
@@ -78,7 +80,7 @@ def test_mixing(spark):
     rng = np.random.default_rng(4)
     rows = [(d, f"s{int(rng.integers(0, 3))}", " ".join(["w"] * int(rng.integers(0, 50)))) for d in range(300)]
     rows += [(1000 + d, "big", "x y " * 200) for d in range(50)] + [(2000, "tiny", "only three words"), (2001, None, "a b"), (None, None, "c\td"), (2002, "empty", None), (2003, "empty", ""), (1000, "big", "x y " * 200), (2004, "s1", "long \n" * 20000)]
-    df = spark.createDataFrame([(d, s, t, "e", len(t or "")) for d, s, t in rows], "doc_id long, source string, text string, size string, n_chars long").repartition(5)
+    df = spark.createDataFrame([(d, s, t, "e", len(t or "")) for d, s, t in rows], "doc_id long, source string, text string, _key string, n_chars long").repartition(5)
     share, total = brute_mix(rows)
     for buckets in (None, 4):
         out = mixing.mix(mixing.sizes(df), buckets=buckets).collect()

@@ -25,10 +25,11 @@ def test_rules_equal_brute_force(spark):
     rules = [*urlfilter.RULES, ("example.org", "", "block"), ("both.net", "/x", "allow"), ("both.net", "/x", "block")]
     rules += [(f"h{k}.net", f"/{k % 7}/", ("allow", "block")[k % 2]) for k in range(400)]
     urls = URLS + [f"http://s{rng.integers(9)}.h{rng.integers(900)}.net/{rng.integers(9)}/page" for _ in range(3000)] + ["http://both.net/xy"]
-    df = spark.createDataFrame([(k, u, "x") for k, u in enumerate(urls)] + [(0, None, "x")], "page_id long, url string, rule string").repartition(4)
+    df = spark.createDataFrame([(k, u, "x") for k, u in enumerate(urls)] + [(0, None, "x")], "page_id long, url string, _keys string").repartition(4)
     out = urlfilter.url_filter(df, spark.createDataFrame(rules, "host string, path string, verdict string"))
     got = sorted(((r["page_id"], r["_host"], r["_path"], r["_rule"], r["_verdict"]) for r in out.collect()), key=str)
     assert got == sorted([(k, *brute(u, rules)) for k, u in enumerate(urls)] + [(0, "", "", None, "allow")], key=str)
+    assert {r["_keys"] for r in out.collect()} == {"x"}
     none = spark.createDataFrame([], "host string, path string, verdict string")
     assert {(r["_rule"], r["_verdict"]) for r in urlfilter.url_filter(df, none).collect()} == {(None, "allow")}
     assert urlfilter.url_filter(df.limit(0), none).count() == 0
