@@ -83,15 +83,16 @@ def shingle_hashes(text: Column | str, n: int = 5) -> Column:
 
 
 def detect_language(text: Column | str) -> Column:
-    """Return es, en or pt by function words among the first 4000 words; ``?`` for up to 5 hits."""
+    """Return es, en or pt by function words among the first 4000 words; ``?`` for up to 5 hits.
+
+    The words are found once and each list's hits are counted once.
+    """
     words = F.slice(F.regexp_extract_all(F.lower(_col(text)), F.lit("[a-záéíóúñãõç]+"), 0), 1, 4000)
-    hits = lambda listed: F.size(F.filter(words, lambda w: w.isin(listed)))
-    score = {lang: hits(listed) for lang, listed in vocab.STOPWORDS.items()}
-    best = F.greatest(*score.values())
-    found = F.when(best <= 5, "?")
-    for lang, value in score.items():
-        found = found.when(value == best, lang)
-    return found
+    names = list(vocab.STOPWORDS)
+    count = lambda w, listed: F.size(F.filter(w, lambda x: x.isin(listed)))
+    hits = let(words, lambda w: F.array(*[count(w, vocab.STOPWORDS[n]) for n in names]))
+    first_best = lambda h: F.when(F.array_max(h) <= 5, "?").otherwise(F.element_at(F.array(*[F.lit(n) for n in names]), F.array_position(h, F.array_max(h)).cast("int")))
+    return F.when(_col(text).isNotNull(), let(hits, first_best)).otherwise("?")
 
 
 def link_ratio(text: Column | str) -> Column:
@@ -139,7 +140,8 @@ def strip_lines(body: Column | str, common: Column) -> tuple[Column, Column]:
 def json_of(text: Column | str) -> Column:
     """Return the object from the first to the last brace, or null if that isn't JSON."""
     found = F.regexp_extract(_col(text), r"(?s)\{.*\}", 0)
-    return F.when(F.try_parse_json(found).isNotNull(), found)
+    # Within brackets, as the parser would pass over whatever follows a whole object.
+    return F.when((found != "") & F.try_parse_json(F.concat(F.lit("["), found, F.lit("]"))).isNotNull(), found)
 
 
 def phrase_evidence(text: Column | str, phrases: list[str], before: int = 80, after: int = 120) -> Column:

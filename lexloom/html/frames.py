@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as T
+from lexloom.functions import url as U
 from lexloom.functions import vocab
 from lexloom.html import documents, pages
 from lexloom.session import spread
@@ -21,19 +22,28 @@ PAGE_MAP = (
 METADATA = "title string, description string, published_date string, authors array<string>, site_name string, language string, keywords array<string>, canonical string, has_citation boolean, rights string, license_url string"
 RIGHTS = "meta_noai boolean, license_links array<string>, copyright_line string, legal_pages array<struct<label: string, url: string>>"
 SECTION = "sections array<struct<name: string, url: string, source: string, path_depth: int, is_media: boolean>>"
+EXTRACT = "canonical string, markdown string, needs_rendering boolean, digest struct<title: string, headings: array<string>, labels: array<string>>"
 LINKS = "html_links array<string>, document_links array<string>"
 
 
-def _mapped(rows: DataFrame, make: Callable[[str, str | None], dict], schema: str, keys: tuple[str, ...]) -> DataFrame:
+#: Characters of markup and pages that are read as one block, which bounds a worker's memory.
+BLOCK_CHARS, BLOCK_PAGES = 4_000_000, 500
+
+
+def _mapped(rows: DataFrame, make: Callable[[list[str], list[str | None]], list[dict]], schema: str, keys: tuple[str, ...]) -> DataFrame:
     kept = [*keys, "url"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split(" ")[0] for x in _fields(schema)]
         for batch in batches:
-            made = pd.DataFrame([make(u or "", h) for u, h in zip(batch["url"], batch["html"], strict=True)], columns=names, index=batch.index)
-            yield pd.concat([batch[kept], made], axis=1)
-
-    types = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+            # A longer page is a block of its own.
+            block = ((batch["html"].str.len().fillna(0).cumsum() // BLOCK_CHARS) * (len(batch) // BLOCK_PAGES + 1) + pd.RangeIndex(len(batch)) // BLOCK_PAGES).to_numpy()
+            for _, part in batch.groupby(block):
+                urls, htmls = ([None if v is None or v != v else v for v in part[c]] for c in ("url", "html"))
+                made = pd.DataFrame(make([u or "" for u in urls], htmls), columns=names, index=part.index)
+                yield pd.concat([part[kept], made], axis=1)
+
+    types = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept)
     return spread(rows.select(*kept, "html")).mapInPandas(run, f"{types}, {schema}")
 
 
@@ -50,28 +60,34 @@ def _fields(schema: str) -> list[str]:
 
 def page_maps(rows: DataFrame, *keys: str) -> DataFrame:
     """Return the page map of each of ``rows`` (url, html); ``keys`` are kept."""
-    return _mapped(rows, pages.page_map, PAGE_MAP, keys)
+    return _mapped(rows, pages.page_maps, PAGE_MAP, keys)
 
 
 def head_metadata(rows: DataFrame, *keys: str) -> DataFrame:
-    return _mapped(rows, lambda _, html: documents.head_metadata(html), METADATA, keys)
+    return _mapped(rows, documents.head_metadata, METADATA, keys)
 
 
 def page_links(rows: DataFrame, *keys: str) -> DataFrame:
-    return _mapped(rows, lambda u, html: dict(zip(("html_links", "document_links"), pages.links(u, html), strict=True)), LINKS, keys)
+    return _mapped(rows, pages.links, LINKS, keys)
 
 
 def page_sections(rows: DataFrame, *keys: str) -> DataFrame:
-    return _mapped(rows, lambda u, html: {"sections": pages.sections(u, html)}, SECTION, keys)
+    return _mapped(rows, pages.sections, SECTION, keys)
 
 
 def rights_signals(rows: DataFrame, *keys: str) -> DataFrame:
     return _mapped(rows, documents.rights_signals, RIGHTS, keys)
 
 
-def extracted(rows: DataFrame, *keys: str) -> DataFrame:
-    """Return (url, markdown, needs_rendering, digest) of each page."""
-    return _mapped(rows, lambda _, h: {"markdown": documents.main_text(h), "needs_rendering": documents.needs_rendering(h), "digest": documents.digest(h)}, "markdown string, needs_rendering boolean, digest string", keys)
+def extracted(rows: DataFrame, *keys: str, least_words: int = 80) -> DataFrame:
+    """Return (url, doc_id, canonical, markdown, n_words, needs_rendering, digest) of each page.
+
+    The id is that of the canonical address; a main text of fewer than
+    ``least_words`` words is no document: its markdown is null.
+    """
+    found = _mapped(rows, documents.extracted, EXTRACT, keys).withColumn("n_words", T.count_words("markdown"))
+    body = F.when(F.col("n_words") >= least_words, F.col("markdown"))
+    return found.select(*keys, "url", U.doc_id("canonical").alias("doc_id"), "canonical", body.alias("markdown"), "n_words", "needs_rendering", "digest")
 
 
 def block_kind(status: Column, html: Column) -> Column:

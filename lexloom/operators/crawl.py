@@ -67,7 +67,8 @@ def page_decision(rows: DataFrame, max_density: float = 0.85, least_words: int =
 
     Columns: already_saved, robots_allowed, throttled, blocked, status, is_pdf,
     is_word, too_large, html (null or empty: nothing came), same_site, page_kind,
-    link_density, words, repeats (its content is known).
+    link_density, words, repeats (its content is known), extract_fails (reading
+    its text or file raised an error). Only a page that gave a document can be a hub.
     """
     c = lambda name, default: F.coalesce(F.col(name), F.lit(default))
     binary = c("is_pdf", False) | c("is_word", False)
@@ -78,12 +79,13 @@ def page_decision(rows: DataFrame, max_density: float = 0.85, least_words: int =
         .when(c("blocked", False), "blocked")
         .when(c("status", 200) >= 400, "http_error")
         .when(binary & c("too_large", False), "too_large")
-        .when(binary, F.when(c("repeats", False), "duplicate").otherwise("saved"))
+        .when(binary, F.when(c("extract_fails", False), "extract_error").when(c("repeats", False), "duplicate").otherwise("saved"))
         .when(c("html", "") == "", "empty")
         .when(~c("same_site", True), "offsite_html")
         .when(c("page_kind", "") == "listing", "listing")
-        .when(c("link_density", 0.0) >= max_density, "hub")
+        .when(c("extract_fails", False), "extract_error")
         .when(c("words", 0) < least_words, "no_document")
+        .when(c("link_density", 0.0) >= max_density, "hub")
         .otherwise(F.when(c("repeats", False), "duplicate").otherwise("saved"))
     )
     return rows.withColumn("decision", decision)
@@ -116,13 +118,6 @@ def rendered_tree(paths: DataFrame, max_depth: int = 6) -> DataFrame:
     return paths.where(depth <= max_depth).select("path", F.concat(F.repeat(F.lit("  "), depth), "url").alias("line")).orderBy("path")
 
 
-def followed_links(links: DataFrame, hints: Iterable[str], exhaustive: bool = False) -> DataFrame:
-    """Return the links to follow of (url, via) with the kind of their discovery."""
-    child = F.startswith(U.path("url"), F.concat(F.regexp_replace(U.path("via"), "/$", ""), F.lit("/"))) & (U.bare_host("url") == U.bare_host("via"))
-    kind = F.when(U.looks_like_document("url"), "document_link").when(child, "child_page").when(U.looks_like_content("url", list(hints)), "content_link").when(F.lit(exhaustive), "bfs")
-    return links.withColumn("kind", kind).where("kind IS NOT NULL")
-
-
 def breadth_first(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     """Return (url, depth) of the pages that ``seeds`` (url) reach over ``links`` (via, url) on the same host.
 

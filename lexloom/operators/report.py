@@ -45,6 +45,22 @@ def token_f1(pairs: DataFrame, left: str = "a_text", right: str = "b_text", keys
     return sums.select(*keys, F.coalesce(2 * F.col("i") / (F.coalesce("a_n", F.lit(0)) + F.coalesce("b_n", F.lit(0))), F.lit(0.0)).alias("f1"))
 
 
+def engine_agreement(texts: DataFrame) -> DataFrame:
+    """Return (engine_a, engine_b, docs, f1): how well each two engines' texts (doc_id, engine, text) agree, on average over documents.
+
+    The engine that agrees best with the others is the consensus where no true text is known.
+    """
+    one, two = (texts.select("doc_id", F.col("engine").alias(f"engine_{side}"), F.col("text").alias(f"{side}_text")) for side in "ab")
+    pairs = one.join(two, "doc_id").where("engine_a < engine_b")  # a handful of engines for each document
+    keys = ("doc_id", "engine_a", "engine_b")
+    return token_f1(pairs, keys=keys).groupBy("engine_a", "engine_b").agg(F.count("*").alias("docs"), F.avg("f1").alias("f1"))
+
+
+def described(index: DataFrame, metadata: DataFrame, texts: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Return the documents of an index with their metadata, which they must have, and their text, which may be missing."""
+    return index.join(metadata, id_col).join(texts, id_col, "left")
+
+
 def external_ids(docs: DataFrame) -> DataFrame:
     """Return ``docs`` with ext_source and ext_id, as an article's URL names them."""
     part = lambda k: F.regexp_extract("url", r"/article/([A-Z]+)/(\w+)", k)

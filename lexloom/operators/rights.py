@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as T
@@ -89,11 +91,16 @@ def verdict_summary(verdicts: DataFrame, docs_per_host: DataFrame) -> DataFrame:
     return rows.groupBy("verdict").agg(F.count("*").alias("domains"), F.coalesce(F.sum("docs"), F.lit(0)).cast("long").alias("docs"))
 
 
+def robots_pattern(pattern: str) -> str:
+    """Return a rule's path pattern as a regular expression that is anchored at the start."""
+    return "^" + re.escape(pattern.rstrip("$")).replace(r"\*", ".*") + ("$" if pattern.endswith("$") else "")
+
+
 def robots_allows(rules: list[tuple[str, str]], path: str) -> bool:
     """Return whether a path may be fetched by (allow or disallow, pattern) rules: the longest fitting one counts, allow on a tie."""
     best = (-1, True)
     for kind, pattern in rules:
-        if pattern and re.match(re.escape(pattern.rstrip("$")).replace(r"\*", ".*") + ("$" if pattern.endswith("$") else ""), path):
+        if pattern and re.match(robots_pattern(pattern), path):
             best = max(best, (len(pattern), kind == "allow"))
     return best[1]
 
@@ -127,18 +134,29 @@ def robots_rules(text: str, agent: str) -> tuple[list[tuple[str, str]], float |
     return rules, delay
 
 
-def allowed(spark: SparkSession, urls: DataFrame, robots: dict[str, str], agent: str) -> DataFrame:
-    """Return ``urls`` with ``allowed``; ``robots`` has the robots.txt of each netloc (none: all is allowed).
+RULES = "rules array<struct<kind: string, pattern: string, size: int>>, delay double"
 
-    The rules of the sites at hand are parsed once and sent to the tasks.
-    """
-    parsed = spark.sparkContext.broadcast({host: robots_rules(text, agent)[0] for host, text in robots.items()})
 
-    @F.pandas_udf("boolean")
-    def may(host, place):
-        import pandas as pd
+def parsed_robots(robots: DataFrame, agent: str) -> DataFrame:
+    """Return (host, rules, delay) of robots files (host, robots): each is parsed once, its patterns as regular expressions."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [robots_rules(text or "", agent) for text in batch["robots"]]
+            rules = [[{"kind": k, "pattern": robots_pattern(p), "size": len(p)} for k, p in r if p] for r, _ in found]
+            yield pd.DataFrame({"host": batch["host"], "rules": rules, "delay": pd.Series([d for _, d in found], dtype="float64")})
 
-        return pd.Series([robots_allows(parsed.value.get(h, []), p or "/") for h, p in zip(host, place, strict=True)])
+    return robots.select("host", "robots").mapInPandas(run, f"host string, {RULES}")
 
+
+def allowed(urls: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
+    """Return ``urls`` (url) with ``allowed`` by their site's robots file (host, robots); without one all is allowed.
+
+    Rules are joined by host, not sent to every task, and tested as columns.
+    """
     where = F.concat(U.path("url"), F.when(U.query("url") != "", F.concat(F.lit("?"), U.query("url"))).otherwise(""))
-    return urls.withColumn("allowed", may(U.netloc("url"), where))
+    rows = urls.withColumns({"_host": U.netloc("url"), "_place": F.when(where == "", "/").otherwise(where)})
+    joined = rows.join(parsed_robots(robots, agent).select(F.col("host").alias("_host"), F.col("rules").alias("_rules")), "_host", "left")
+    fits = F.filter("_rules", lambda r: F.regexp_like(F.col("_place"), r["pattern"]))
+    best = F.array_max(F.transform(fits, lambda r: F.struct(r["size"].alias("size"), (r["kind"] == "allow").alias("yes"))))
+    return joined.withColumn("allowed", F.coalesce(best["yes"], F.lit(True))).drop("_host", "_place", "_rules")

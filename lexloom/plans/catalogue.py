@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.plans import corpus_queries, crawl_queries, page_queries, url_queries
+from lexloom.plans import corpus_queries, crawl_queries, html_queries, page_queries, process_queries, source_queries, url_queries
 
-FAMILIES = (corpus_queries, url_queries, crawl_queries, page_queries)
+FAMILIES = (corpus_queries, url_queries, crawl_queries, page_queries, html_queries, process_queries, source_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -22,8 +22,15 @@ def _docs(*columns):
 
 
 def near_duplicate_pairs(spark, sf):
-    found = dedup.near_duplicate_pairs(table(spark, sf, "documents"))
-    return found.select("a", "b", F.round("jaccard", 2).alias("jaccard"))
+    pairs, _ = dedup.near_duplicates(table(spark, sf, "documents"))
+    return pairs.select("a", "b", F.round("jaccard", 2).alias("jaccard"))
+
+
+def near_duplicate_members(spark, sf):
+    """Every document that takes part: its class and whether anything repeats it or comes near it."""
+    pairs, members = dedup.near_duplicates(table(spark, sf, "documents"))
+    partner = dedup.with_partner(pairs, members).withColumn("partner", F.lit(True))
+    return members.join(partner, "doc_id", "left").select("doc_id", "class_id", "class_size", F.coalesce("partner", F.lit(False)).alias("partner"))
 
 
 def token_f1_pairs(spark, sf):
@@ -44,8 +51,7 @@ def strip_boilerplate(spark, sf):
 
 def audit_flags(spark, sf):
     docs = documents(spark, sf)
-    near = dedup.near_duplicate_pairs(docs)
-    ids = near.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    ids = dedup.with_partner(*dedup.near_duplicates(docs))
     titles = audit.title_flags(docs)
     status = docs.withColumn("http_status", F.when(F.col("doc_id") % 97 == 0, 404).otherwise(200))
     return audit.flags({
@@ -103,15 +109,31 @@ MISMATCH_SQL = LANG_SQL + ", long AS (SELECT * FROM told WHERE length(text) > 30
 LINES_SQL = "lines AS (SELECT doc_id, source || '.example' AS domain, trim(line) AS line FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE length(trim(line)) > 25), totals AS (SELECT source || '.example' AS domain, count(*) AS docs FROM documents GROUP BY 1 HAVING count(*) >= 5), common AS (SELECT domain, line, count(DISTINCT doc_id) AS n_docs, count(DISTINCT doc_id) / any_value(docs) AS share FROM lines JOIN totals USING (domain) GROUP BY domain, line HAVING count(DISTINCT doc_id) / any_value(docs) >= 0.1), ratios AS (SELECT doc_id, count(*) FILTER (c.line IS NOT NULL) / count(*) AS ratio FROM lines l LEFT JOIN common c ON l.domain = c.domain AND l.line = c.line GROUP BY doc_id)"
 TITLES_SQL = "titled AS (SELECT doc_id, source, trim(split_part(text, chr(10), 1)) AS t FROM documents), titles AS (SELECT doc_id, CASE WHEN length(t) < 8 OR source = lower(t) THEN 'generic_title' WHEN n > 1 THEN 'duplicated_title' END AS flag, n AS n_titles FROM (SELECT *, count(*) OVER (PARTITION BY t) AS n FROM titled))"
 PAIRS_SQL = (
-    "toks AS (SELECT doc_id, " + TOKENS.format("text") + " AS t FROM documents WHERE length(text) > 400), sh AS (SELECT DISTINCT doc_id, array_to_string(t[i:i + 4], ' ') AS s FROM (SELECT doc_id, t, unnest(range(1, len(t) - 3)) AS i FROM toks WHERE len(t) >= 5)), "
+    "toks AS (SELECT doc_id, " + TOKENS.format("text") + " AS t FROM documents WHERE length(text) > 400), every AS (SELECT DISTINCT doc_id, array_to_string(t[i:i + 4], ' ') AS s FROM (SELECT doc_id, t, unnest(range(1, len(t) - 3)) AS i FROM toks WHERE len(t) >= 5)), "
+    "named AS (SELECT doc_id, list(s ORDER BY s) AS k FROM every GROUP BY doc_id), members AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS class_id, count(*) OVER (PARTITION BY k) AS class_size FROM named), sh AS (SELECT doc_id, s FROM every WHERE doc_id IN (SELECT class_id FROM members)), "
     "sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id), inter AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL), "
-    "pairs AS (SELECT a, b, i / (p.n + q.n - i) AS jaccard FROM inter JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE i / (p.n + q.n - i) >= 0.7)"
+    "pairs AS (SELECT a, b, i / (p.n + q.n - i) AS jaccard FROM inter JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE i / (p.n + q.n - i) >= 0.7), "
+    "partnered AS (SELECT *, class_size > 1 OR class_id IN (SELECT a FROM pairs UNION SELECT b FROM pairs) AS partner FROM members)"
 )
-FLAGS_SQL = f"{PAIRS_SQL}, {LINES_SQL}, {MISMATCH_SQL}, {TITLES_SQL}, flags AS (SELECT a AS doc_id, 'near_duplicate' AS flag FROM pairs UNION ALL SELECT b, 'near_duplicate' FROM pairs UNION ALL SELECT doc_id, 'boilerplate' FROM ratios WHERE ratio > 0.05 UNION ALL SELECT doc_id, 'language_mismatch' FROM mismatch UNION ALL SELECT doc_id, flag FROM titles WHERE flag IS NOT NULL UNION ALL SELECT doc_id, 'http_error' FROM documents WHERE doc_id % 97 = 0)"
+FLAGS_SQL = f"{PAIRS_SQL}, {LINES_SQL}, {MISMATCH_SQL}, {TITLES_SQL}, flags AS (SELECT doc_id, 'near_duplicate' AS flag FROM partnered WHERE partner UNION ALL SELECT doc_id, 'boilerplate' FROM ratios WHERE ratio > 0.05 UNION ALL SELECT doc_id, 'language_mismatch' FROM mismatch UNION ALL SELECT doc_id, flag FROM titles WHERE flag IS NOT NULL UNION ALL SELECT doc_id, 'http_error' FROM documents WHERE doc_id % 97 = 0)"
 WORDY = r"""list_filter({0}, lambda w: NOT regexp_full_match(w, '[\d.,;:%$€°#/()\[\]\-–]+'))"""
 WORDY_SQL = "WITH w AS (SELECT doc_id, " + WORDY.format(SPLIT.format("text")) + " AS w FROM documents), g AS (SELECT doc_id, len(w) AS n, len(list_filter(w, lambda x: regexp_full_match(trim(x, '.,;:()[]\"''¡!¿?%'), '[{1}]{{3,}}'))) AS good FROM w) SELECT doc_id, {0} FROM g"
 
+
+
+def _planted(spark, sf):
+    """Documents with two lines put before half of the texts of each source, and short texts for every tenth, so that the rules' own shares are reached."""
+    docs = documents(spark, sf)
+    put = F.when(F.col("doc_id") % 4 < 2, F.concat(F.lit("This line stands on every second page\nAnd this one is the menu of the site\n"))).otherwise("")
+    body = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("Own line number of the document "), F.col("doc_id"))).otherwise(F.col("text"))
+    return docs.withColumn("text", F.concat(put, body))
+
+
+PLANTED_SQL = "planted AS (SELECT doc_id, source, CASE WHEN doc_id % 4 < 2 THEN 'This line stands on every second page' || chr(10) || 'And this one is the menu of the site' || chr(10) ELSE '' END || CASE WHEN doc_id % 10 = 0 THEN 'Own line number of the document ' || doc_id ELSE text END AS text FROM documents), " + LINES_SQL.replace("FROM documents", "FROM planted").replace(">= 0.1", ">= 0.4")
+
 QUERIES = {
+    "boilerplate_lines_planted": (lambda spark, sf: audit.boilerplate_lines(_planted(spark, sf)), f"WITH {PLANTED_SQL} SELECT domain, line, n_docs, share FROM common"),
+    "boilerplate_ratio_planted": (lambda spark, sf: audit.boilerplate_ratio(_planted(spark, sf), audit.boilerplate_lines(_planted(spark, sf))).select("doc_id", F.round("ratio", 6).alias("ratio")), f"WITH {PLANTED_SQL} SELECT doc_id, round(ratio, 6) AS ratio FROM ratios WHERE ratio > 0.3"),
     "content_dedup": (lambda spark, sf: dedup.content_groups(table(spark, sf, "documents")), f"SELECT substr(sha256(t), 1, 32) AS content_hash, min(doc_id) AS kept_doc_id, count(*) AS n_docs FROM (SELECT doc_id, {FLAT.format('text')} AS t FROM documents) WHERE length(t) >= 200 GROUP BY 1"),
     "dedup_aliases": (lambda spark, sf: dedup.aliases(table(spark, sf, "documents")), f"SELECT doc_id, kept AS kept_doc_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS kept FROM (SELECT doc_id, {FLAT.format('text')} AS t FROM documents) WHERE length(t) >= 200) WHERE doc_id <> kept"),
     "word_counts": (_docs(lambda: T.count_words("text").alias("words"), lambda: T.token_estimate("text").cast("long").alias("tokens")), f"SELECT doc_id, len({SPLIT.format('text')})::INT AS words, length(text) // 4 AS tokens FROM documents"),
@@ -122,6 +144,7 @@ QUERIES = {
     ),
     "shingle_counts": (_docs(lambda: F.size(T.shingles("text")).alias("shingles")), "WITH t AS (SELECT doc_id, " + TOKENS.format("text") + " AS t FROM documents) SELECT doc_id, CASE WHEN len(t) < 5 THEN 0 ELSE len(list_distinct(list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i:i + 4], ' ')))) END::INT AS shingles FROM t"),
     "near_duplicate_pairs": (near_duplicate_pairs, f"WITH {PAIRS_SQL} SELECT a, b, round(jaccard, 2) AS jaccard FROM pairs"),
+    "near_duplicate_members": (near_duplicate_members, f"WITH {PAIRS_SQL} SELECT doc_id, class_id, class_size, partner FROM partnered"),
     "detect_language": (_docs(lambda: T.detect_language("text").alias("detected")), f"WITH {LANG_SQL} SELECT doc_id, detected FROM told"),
     "language_mismatch": (lambda spark, sf: audit.language_mismatch(documents(spark, sf)), f"WITH {MISMATCH_SQL} SELECT doc_id, detected, majority FROM mismatch"),
     "boilerplate_lines": (lambda spark, sf: _common(spark, sf), f"WITH {LINES_SQL} SELECT domain, line, n_docs, share FROM common"),

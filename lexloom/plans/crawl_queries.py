@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as T
@@ -9,7 +11,7 @@ from lexloom.functions import url as U
 from lexloom.functions import vocab
 from lexloom.operators import coverage, crawl, report
 from lexloom.plans.fixtures import COLLAPSED_SQL, INVENTORY_SQL, LEDGER_SQL, OUTCOME_LIST, SITES, TREE_SQL, inventories, ledger, provenance
-from lexloom.session import table
+from lexloom.session import shared_folder, table
 from lexloom.streaming import panel
 
 FAILURE_LIST = "('blocked', 'http_error', 'extract_error', 'too_large', 'empty', 'offsite_html', 'robots')"
@@ -60,17 +62,6 @@ def _signals(spark, sf):
     return e.select("event_id", kind.alias("page_kind"), (F.col("event_id") % 6).alias("items"), (F.col("event_id") % 5).alias("sections"), (F.col("event_id") % 17).alias("sitemap"))
 
 
-def _pages_seen(spark, sf):
-    """Fetched pages with every signal a decision looks at, by number."""
-    k = F.col("event_id")
-    e = table(spark, sf, "events")
-    return e.select(
-        k, (k % 31 == 0).alias("already_saved"), (k % 29 != 0).alias("robots_allowed"), (k % 27 == 0).alias("throttled"), (k % 25 == 0).alias("blocked"), F.when(k % 23 == 0, 404).otherwise(200).alias("status"),
-        (k % 19 == 0).alias("is_pdf"), (k % 18 == 0).alias("is_word"), (k % 2 == 0).alias("too_large"), F.when(k % 17 == 0, "").otherwise("<p>").alias("html"), (k % 16 != 0).alias("same_site"),
-        F.when(k % 5 == 0, "listing").otherwise("article").alias("page_kind"), ((k % 10) / 10).alias("link_density"), (k % 400).alias("words"), (k % 3 == 0).alias("repeats"),
-    )
-
-
 def _tree_docs(spark, sf):
     docs = table(spark, sf, "documents").select(F.concat(F.lit("n"), (F.col("doc_id") * 3).cast("string")).alias("url"), T.count_words("text").alias("words"))
     return docs
@@ -101,7 +92,7 @@ def _streamed(spark, sf):
     """Windows of a day by outcome, from the events as a stream; read back when the stream has run dry."""
     schema = table(spark, sf, "events").schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet*").parquet(sf).select(F.col("ts").cast("timestamp").alias("time"), "event_type", "value")
-    out = panel.to_memory(panel.per_minute(rows, width="1 day", keys=("event_type",)), "events_per_day")
+    out = panel.to_table(panel.per_minute(rows, width="1 day", keys=("event_type",)), f"{shared_folder(spark)}/days-{uuid.uuid4().hex}")
     return out.select(F.unix_timestamp("start").alias("start"), "event_type", "n")
 
 
@@ -110,7 +101,7 @@ def _streamed_domains(spark, sf):
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet*").parquet(sf)
     site = F.concat(F.lit("https://site"), (F.col("user_id") % SITES).cast("string"), F.lit(".example/"))
     visits = rows.select(site.alias("url"), F.get(F.array(*[F.lit(x) for x in vocab.DECISIONS]), (F.col("event_id") % 17).cast("int")).alias("decision"), F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double").alias("ts"))
-    return panel.to_memory(panel.domain_counters(visits), "domain_counters")
+    return panel.to_table(panel.domain_counters(visits), f"{shared_folder(spark)}/counters-{uuid.uuid4().hex}")
 
 
 def _rates(spark, sf):
@@ -172,11 +163,6 @@ QUERIES = {
         lambda spark, sf: _signals(spark, sf).select("event_id", crawl.plan(F.col("page_kind"), F.col("items"), F.col("sections"), F.col("sitemap")).alias("p")).select("event_id", "p.strategy", "p.low_confidence"),
         "WITH s AS (SELECT event_id, CASE WHEN event_id % 4 = 0 AND event_id % 6 >= 3 THEN 'listing' WHEN event_id % 4 = 1 THEN 'directed' WHEN event_id % 5 >= 3 THEN 'sections' WHEN event_id % 17 >= 10 THEN 'sitemap' ELSE 'bfs' END AS strategy FROM events) SELECT event_id, strategy, strategy = 'bfs' AS low_confidence FROM s",
     ),
-    "page_decisions": (
-        lambda spark, sf: crawl.page_decision(_pages_seen(spark, sf)).groupBy("decision").agg(F.count("*").alias("n")),
-        "WITH d AS (SELECT CASE WHEN k % 31 = 0 THEN 'already_saved' WHEN k % 29 = 0 THEN 'robots' WHEN k % 27 = 0 THEN 'throttle' WHEN k % 25 = 0 THEN 'blocked' WHEN k % 23 = 0 THEN 'http_error' WHEN k % 19 = 0 OR k % 18 = 0 THEN CASE WHEN k % 2 = 0 THEN 'too_large' WHEN k % 3 = 0 THEN 'duplicate' ELSE 'saved' END "
-        "WHEN k % 17 = 0 THEN 'empty' WHEN k % 16 = 0 THEN 'offsite_html' WHEN k % 5 = 0 THEN 'listing' WHEN k % 10 = 9 THEN 'hub' WHEN k % 400 < 80 THEN 'no_document' WHEN k % 3 = 0 THEN 'duplicate' ELSE 'saved' END AS decision FROM (SELECT event_id AS k FROM events)) SELECT decision, count(*) AS n FROM d GROUP BY 1",
-    ),
     "provenance_path": (
         lambda spark, sf: crawl.provenance_paths(provenance(spark, sf)),
         f"WITH RECURSIVE {TREE_SQL}, walk AS (SELECT url, [url] AS path, via AS next FROM nodes UNION ALL SELECT w.url, list_prepend(n.url, w.path), n.via FROM walk w JOIN nodes n ON n.url = w.next WHERE len(w.path) < 12) SELECT url, arg_max(path, len(path)) AS path FROM walk GROUP BY url",

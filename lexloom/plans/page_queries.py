@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from lexloom.functions import text as T
 from lexloom.functions import vocab
 from lexloom.html import frames
-from lexloom.operators import audit
 from lexloom.plans import fixtures
 from lexloom.session import table
 
@@ -39,12 +38,6 @@ BLOCKED_SQL = (
 )
 
 
-def _low_coverage(spark, sf):
-    maps = frames.page_maps(_pages(spark, sf), "page_id").withColumnRenamed("page_id", "doc_id")
-    short = _pages(spark, sf).select(F.col("page_id").alias("doc_id"), F.regexp_extract("html", "(?is)<h1[^>]*>(.*?)</h1>", 1).alias("text"))
-    return audit.low_coverage(short, maps)
-
-
 def _from_documents(spark, sf):
     docs = fixtures.documents(spark, sf)
     pairs = docs.select(F.col("doc_id").alias("a"), "text").join(docs.select((F.col("doc_id") - 20).alias("a"), F.col("text").alias("other")), "a")
@@ -59,12 +52,9 @@ QUERIES = {
         "SELECT page_id, nullif(regexp_extract(html, '<html[^>]*lang=\"([^\"]*)\"', 1), '') AS language FROM pages",
     ),
     "block_check": (_blocked, BLOCKED_SQL),
-    "page_links": (lambda spark, sf: frames.page_links(_pages(spark, sf), "page_id"), None),
     "page_map": (lambda spark, sf: frames.page_maps(_pages(spark, sf), "page_id"), None),
-    "page_sections": (lambda spark, sf: frames.page_sections(_pages(spark, sf), "page_id"), None),
     "head_metadata": (lambda spark, sf: frames.head_metadata(_pages(spark, sf), "page_id"), None),
     "page_extract": (lambda spark, sf: frames.extracted(_pages(spark, sf), "page_id"), None),
     "page_rights_signals": (lambda spark, sf: frames.rights_signals(_pages(spark, sf), "page_id"), None),
-    "low_coverage": (_low_coverage, None),
     "character_similarity": (_from_documents, None),
 }

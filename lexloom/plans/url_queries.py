@@ -54,13 +54,38 @@ NORMAL = rf"""WITH {URLS_SQL}, parts AS (
 )
 SELECT page_id, scheme || '://' || host || p || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS normalized FROM pairs"""
 
-UTILITY = (
-    "(?i)/(wp-login\\.php|wp-admin|wp-json|xmlrpc\\.php|login|logout|signin|register|cuenta|account|cart|carrito|checkout|search|buscar|busqueda|feed|rss|comments/feed|tag|tags|etiqueta|author|autor|category|categoria|page/\\d+"
-    "|wp-content/uploads/[^/]+\\.(jpe?g|png|gif|svg|webp))(/|$|\\?)|[?&](s|q|query|search|replytocom|share|print|utm_\\w+|fbclid)=|[?&]page=\\d+|\\.(css|js|jpe?g|png|gif|svg|webp|ico|woff2?|ttf|eot|mp[34]|zip|xml|json)(\\?|$)|/#|/sitemap"
-)
+UTILITY = vocab.UTILITY_PATTERN
 _any = lambda where, hints: "(" + " OR ".join(f"contains({where}, '{h}')" for h in hints) + ")"
 _ends = lambda hints: "(" + " OR ".join(f"ends_with(split_part(lower(variant), '?', 1), '{h}')" for h in hints) + ")"
 
+#: What a counter of 20 becomes in the candidate that is tried first.
+COUNTERS = [(n, f"?{n}=21") for n in vocab.PAGE_PARAMETERS] + [(n, f"?{n}=40") for n in vocab.OFFSET_PARAMETERS] + [("other", "?other=20&page=2")]
+_h = "http://h.org"
+COUNTED = [
+    (f"{_h}/n?page=3", [f"{_h}/n?page=4"]), (f"{_h}/n?Paged=2", [f"{_h}/n?Paged=3"]), (f"{_h}/n?offset=40&cat=3", [f"{_h}/n?offset=80&cat=3"]), (f"{_h}/n?start=0", []), (f"{_h}/blog/page/4/", [f"{_h}/blog/page/5/"]), (f"{_h}/blog/Seite/9", [f"{_h}/blog/Seite/10"]),
+    (f"{_h}/n", [f"{_h}/n/page/2/", f"{_h}/n?page=2", f"{_h}/n?p=2"]), (f"{_h}/n/?c=1", [f"{_h}/n/page/2/?c=1", f"{_h}/n/?c=1&page=2", f"{_h}/n/?c=1&p=2"]), (f"{_h}/n?p=1545", [f"{_h}/n?p=1546"]), (f"{_h}/n?q=a+b&pg=1", [f"{_h}/n?q=a+b&pg=2"]),
+]
+FILES = [
+    ("GUIA_EDUCATIVA_2020.pdf", "Guia Educativa 2020"), ("file_2.pdf", None), ("Informe%20anual%20(1).docx", "Informe anual"), ("el+plan+--+final+(2).PDF", "el plan final"), ("abc.pdf", None), ("articles-90118_archivo_01.pdf", None), ("plan-de-accion.odt", "plan-de-accion"), ("x/", None), ("LEY.rtf", None), ("a%zz_memoria.doc", "a%zz memoria"),
+]
+
+
+def _case(values):
+    return F.get(F.array(*[F.lit(v) for v in values]), (F.col("page_id") % len(values)).cast("int"))
+
+
+def _encoded(spark, sf):
+    """The variants with a parameter that must be decoded and encoded again."""
+    more = F.concat("variant", F.when(F.col("variant").contains("?"), "&").otherwise("?"), F.lit("w=a%20b+c*~%C3%A9&v="), F.col("page_id"))
+    return urls(spark, sf).select("page_id", U.normalize_encoded(more).alias("normalized"))
+
+
+ENCODED = (
+    NORMAL.replace("urls AS (", "bare_urls AS (", 1).replace("parts AS (", "urls AS (SELECT page_id, url, variant || CASE WHEN contains(variant, '?') THEN '&' ELSE '?' END || 'w=a%20b+c*~%C3%A9&v=' || page_id AS variant FROM bare_urls), parts AS (", 1)
+    .replace("lambda kv: CASE WHEN contains(kv, '=') THEN kv ELSE kv || '=' END", "lambda kv: [url_decode(replace(split_part(kv, '=', 1), '+', '%20')), url_decode(replace(CASE WHEN contains(kv, '=') THEN substr(kv, instr(kv, '=') + 1) ELSE '' END, '+', '%20'))]")
+    .replace("array_to_string(kept, '&')", "array_to_string(list_transform(kept, lambda p: replace(url_encode(p[1]), '%20', '+') || '=' || replace(url_encode(p[2]), '%20', '+')), '&')")
+)
+
 QUERIES = {
     "doc_ids": (doc_ids, "SELECT page_id, substr(sha256(url), 1, 16) AS doc_id FROM pages"),
     "url_host": (url_host, f"SELECT page_id, {HOST.format('url')} AS host, {PATH.format('url')} AS path, {QUERY.format('url')} AS query FROM pages"),
@@ -75,7 +100,7 @@ QUERIES = {
     "url_content_hint": (_of(lambda: [U.looks_like_content("variant", HINTS).alias("content")]), _sql(_any(f"lower({PATH.format('variant')})", HINTS) + " AS content")),
     "url_document": (
         _of(lambda: [U.is_document("variant").alias("document"), U.looks_like_document("variant").alias("download"), U.is_extractable("variant").alias("extractable")]),
-        _sql(f"{_ends(vocab.DOCUMENT_EXTENSIONS)} AS document, {_ends(vocab.DOCUMENT_EXTENSIONS)} OR regexp_matches(variant, '(?i)/download(/|$|\\?)|/bitstreams?/|[?&](download|attachment|file)=|/attachments?/') AS download, NOT {_ends(vocab.DATA_EXTENSIONS)} AS extractable"),
+        _sql(f"{_ends(vocab.DOCUMENT_EXTENSIONS)} AS document, {_ends(vocab.DOCUMENT_EXTENSIONS)} OR regexp_matches(variant, '{vocab.DOWNLOAD_PATTERN}') AS download, NOT {_ends(vocab.DATA_EXTENSIONS)} AS extractable"),
     ),
     "url_utility": (
         lambda spark, sf: urls(spark, sf).select("page_id", U.is_utility("url").alias("utility"), U.is_utility("variant").alias("variant_utility")),
@@ -100,6 +125,22 @@ QUERIES = {
         SELECT page_id, 1, base || '?' || CASE WHEN q = '' THEN '' ELSE q || '&' END || 'page=2' FROM bare UNION ALL
         SELECT page_id, 2, base || '?' || CASE WHEN q = '' THEN '' ELSE q || '&' END || 'p=2' FROM bare""",
     ),
-    "url_normalize_encoded": (_of(lambda: [U.normalize_encoded("variant").alias("normalized")]), None),
-    "file_titles": (_of(lambda: [U.title_from_file_name("variant").alias("title")]), None),
+    "url_normalize_encoded": (_encoded, ENCODED),
+    "next_page": (
+        lambda spark, sf: table(spark, sf, "pages").select("page_id", U.next_page(F.concat(F.lit("http://h.org/l"), _case([f"?{n}=20" for n, _ in COUNTERS]))).alias("next_url")),
+        "SELECT page_id, 'http://h.org/l' || (['" + "', '".join(v for _, v in COUNTERS) + f"'])[page_id % {len(COUNTERS)} + 1] AS next_url FROM pages",
+    ),
+    "next_page_counters": (
+        lambda spark, sf: table(spark, sf, "pages").select("page_id", F.array_join(U.next_pages(_case([u for u, _ in COUNTED])), " ").alias("urls")),
+        "SELECT page_id, (['" + "', '".join(" ".join(v) for _, v in COUNTED) + f"'])[page_id % {len(COUNTED)} + 1] AS urls FROM pages",
+    ),
+    "file_titles": (
+        lambda spark, sf: table(spark, sf, "pages").select("page_id", U.title_from_file_name(F.concat(F.lit("http://h.org/d/"), _case([n for n, _ in FILES]))).alias("title")),
+        "SELECT page_id, ([" + ", ".join("NULL" if t is None else f"'{t}'" for _, t in FILES) + f"]::VARCHAR[])[page_id % {len(FILES)} + 1] AS title FROM pages",
+    ),
+    "page_category_citation": (
+        lambda spark, sf: table(spark, sf, "pages").select("page_id", U.category("url", F.col("page_id") % 3 == 0).alias("category")),
+        f"SELECT page_id, CASE WHEN page_id % 3 = 0 OR {_any('h', vocab.SCIENCE_HINTS)} THEN 'scientific' WHEN {_any('h', vocab.GOVERNMENT_HINTS)} THEN 'government' WHEN {_any('h', vocab.NEWS_HINTS)} OR {_any('p', vocab.NEWS_HINTS)} THEN 'news' "
+        f"WHEN contains(h, 'blog') OR contains(p, '/blog') OR contains(h, 'medium.com') THEN 'blog' ELSE 'generic' END AS category FROM (SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS h, lower({PATH.format('url')}) AS p FROM pages)",
+    ),
 }

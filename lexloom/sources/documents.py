@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import text as T
 from lexloom.functions import url as U
 from lexloom.operators import dedup
+from lexloom.session import cut_lineage
 
 WORD_SPACE = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
@@ -31,18 +32,33 @@ def save(docs: DataFrame, folder: str) -> None:
     dedup.aliases(rows).write.mode("overwrite").parquet(f"{folder}/aliases")
 
 
-def save_batches(stream: DataFrame, folder: str, checkpoint: str):
-    """Start a query that adds each batch's new contents to ``folder``; what is there already is left out."""
+def save_batches(stream: DataFrame, folder: str, checkpoint: str, prefix: int = 2):
+    """Start a query that adds each batch's new contents to ``folder``; what is there already is left out.
+
+    Beside the documents a table of their ids and content hashes is kept, in a
+    folder for each beginning of the hash: a batch reads only the folders that its
+    own documents fall into, and never the documents.
+    """
+    from pyspark.errors import AnalysisException
+
+    keys = f"{folder}/keys"
+    shard = lambda c: F.substring(F.sha2(F.col(c), 256), 1, prefix)
 
     def add(batch: DataFrame, _: int) -> None:
-        rows = dedup.deduplicated(prepared(batch).dropDuplicates(["doc_id"]))
+        rows = cut_lineage(dedup.deduplicated(prepared(batch).dropDuplicates(["doc_id"])))
+        new = rows.select("doc_id", "content_hash")
+        wanted = new.select(F.explode(F.array("doc_id", "content_hash")).alias("key")).where("key IS NOT NULL").withColumn("shard", shard("key"))
         try:
-            known = batch.sparkSession.read.parquet(folder).select("doc_id", "content_hash")
-            rows = rows.join(known.select("doc_id"), "doc_id", "left_anti").join(known.where("content_hash IS NOT NULL").select("content_hash"), "content_hash", "left_anti")
-        except Exception as error:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            here = [r[0] for r in wanted.select("shard").distinct().collect()]  # at most 16 to the power of prefix
+            known = batch.sparkSession.read.schema("key string, shard string").parquet(keys).where(F.col("shard").isin(here)).select("key").distinct()
+            rows = rows.join(known.withColumnRenamed("key", "doc_id"), "doc_id", "left_anti").join(known.withColumnRenamed("key", "content_hash"), "content_hash", "left_anti")
+        except AnalysisException as error:  # the first batch finds no table
+            if "PATH_NOT_FOUND" not in str(error):
                 raise
-        rows.write.mode("append").parquet(folder)
+        rows = cut_lineage(rows)
+        rows.write.mode("append").parquet(f"{folder}/documents")
+        added = rows.select(F.explode(F.array("doc_id", "content_hash")).alias("key")).where("key IS NOT NULL").withColumn("shard", shard("key"))
+        added.write.mode("append").partitionBy("shard").parquet(keys)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
 
@@ -78,8 +94,3 @@ def word_files(files: DataFrame) -> DataFrame:
 
     return files.select("path", "content").mapInPandas(run, "path string, text string, properties map<string, string>, status string")
 
-
-def suggest_engines(queue: DataFrame) -> DataFrame:
-    from lexloom.operators.scans import hints
-
-    return queue.withColumn("hints", hints(F.col("pages"), F.col("image_ratio")))

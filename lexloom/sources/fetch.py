@@ -11,9 +11,12 @@ from typing import Protocol
 from urllib.parse import urlsplit
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from lexloom.html.documents import needs_rendering
+from lexloom.functions import url as U
+from lexloom.html.documents import renderable
+from lexloom.session import cut_lineage
 
 
 @dataclass
@@ -87,7 +90,7 @@ class Adaptive:
 
     def fetch(self, url: str) -> Answer:
         plain = self.static.fetch(url)
-        if self.render is None or plain.blocked or plain.is_pdf or not plain.html or not needs_rendering(plain.html, self.least_chars, self.markers):
+        if self.render is None or plain.blocked or plain.is_pdf or not plain.html or not renderable(plain.html, self.least_chars, self.markers):
             return plain
         try:
             full = self.render.fetch(url)
@@ -135,22 +138,50 @@ class Throttle:
         return pause
 
 
-def sitemap_urls(site: str, robots: str | None, get: Callable[[str], str | None], limit: int = 500) -> list[str]:
-    """Return the pages of a site's sitemaps: those that robots.txt names, else the usual two places; indexes are followed."""
-    named = re.findall(r"(?im)^sitemap:\s*(\S+)", robots or "")
-    queue = [*named, *(f"{site.rstrip('/')}/{n}" for n in ("sitemap.xml", "sitemap_index.xml"))]
-    seen, found = set(), {}
-    while queue and len(found) < limit:
-        at = queue.pop(0)
-        if at in seen or not (text := get(at) if not seen.add(at) else None):
-            continue
-        try:
-            root = ET.fromstring(text.encode())
-        except ET.ParseError:
-            continue
-        places = [e.text.strip() for e in root.iter() if e.tag.rpartition("}")[2] == "loc" and e.text]
-        if root.tag.endswith("sitemapindex"):
-            queue = [*places, *queue]
-        else:
-            found.update(dict.fromkeys(places))
-    return list(found)[:limit]
+SITEMAP = "kind string, locs array<string>"
+
+
+def read_sitemaps(files: DataFrame) -> DataFrame:
+    """Return (url, kind, locs) of sitemap files (url, text): index or pages, and the addresses in order; broken files are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for url, text in zip(batch["url"], batch["text"], strict=True):
+                try:
+                    root = ET.fromstring((text or "").encode())
+                except ET.ParseError:
+                    continue
+                locs = [e.text.strip() for e in root.iter() if e.tag.rpartition("}")[2] == "loc" and e.text]
+                rows.append((url, "index" if root.tag.endswith("sitemapindex") else "pages", locs))
+            yield pd.DataFrame(rows, columns=["url", "kind", "locs"])
+
+    return files.select("url", "text").mapInPandas(run, f"url string, {SITEMAP}")
+
+
+def sitemap_pages(sites: DataFrame, files: DataFrame, limit: int = 500, levels: int = 3) -> DataFrame:
+    """Return (site, url) of the pages that the sitemaps of ``sites`` (site, robots) list, at most ``limit`` of each site.
+
+    Sitemaps are those that robots.txt names and the usual two places; ``files``
+    (url, text) are the answers. Indexes are followed over ``levels`` joins; of a
+    site's pages those come first that the first sitemap names first.
+    """
+    known = cut_lineage(read_sitemaps(files))
+    named = F.regexp_extract_all(F.coalesce("robots", F.lit("")), F.lit(r"(?im)^sitemap:\s*(\S+)"), 1)
+    usual = F.array(*[F.concat(F.regexp_replace("site", "/+$", ""), F.lit(f"/{n}")) for n in ("sitemap.xml", "sitemap_index.xml")])
+    at = sites.select("site", F.posexplode(F.array_distinct(F.concat(named, usual))).alias("k", "url")).select("site", "url", F.array("k").alias("order"))
+    found = None
+    for _ in range(levels):
+        read = at.join(known, "url").select("site", "order", "kind", F.posexplode("locs").alias("k", "loc")).select("site", "kind", F.col("loc").alias("url"), F.concat("order", F.array("k")).alias("order"))
+        pages = read.where("kind = 'pages'").drop("kind")
+        found = pages if found is None else found.unionByName(pages)
+        at = read.where("kind = 'index'").groupBy("site", "url").agg(F.min("order").alias("order"))
+    first = found.groupBy("site", "url").agg(F.min("order").alias("order"))
+    nth = F.row_number().over(Window.partitionBy("site").orderBy("order"))
+    return first.withColumn("nth", nth).where(F.col("nth") <= limit).select("site", "url")
+
+
+def content_first(urls: DataFrame, hints: list[str], limit: int, keys: tuple[str, ...] = ("site",)) -> DataFrame:
+    """Return at most ``limit`` URLs of each site, those that look like content first, else in the order given (pos)."""
+    order = Window.partitionBy(*keys).orderBy(F.when(U.looks_like_content("url", hints), 0).otherwise(1), "pos")
+    return urls.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= limit).drop("_n")

@@ -46,13 +46,15 @@ def test_traps_exclusions_kinds(spark):
 def test_pages_and_links(spark):
     cases = {
         "http://a/l?page=3": ["http://a/l?page=4"], "http://a/l?start=20": ["http://a/l?start=40"], "http://a/l?start=0": [], "http://a/page/2/": ["http://a/page/3/"],
-        "http://a/l": ["http://a/l/page/2/", "http://a/l?page=2", "http://a/l?p=2"], "http://a/l?p=1545": ["http://a/l?p=1546"],
+        "http://a/l": ["http://a/l/page/2/", "http://a/l?page=2", "http://a/l?p=2"], "http://a/l?p=1545": ["http://a/l?p=1546"], "http://a/l?offset=40&cat=3": ["http://a/l?offset=80&cat=3"],
+        "http://a/l?Paged=2": ["http://a/l?Paged=3"], "http://a/l?page=x": ["http://a/l?page=x"], "http://a/b/PAGINA/9?q=a%20b": ["http://a/b/PAGINA/10?q=a%20b"], "http://a/l/?c=1": ["http://a/l/page/2/?c=1", "http://a/l/?c=1&page=2", "http://a/l/?c=1&p=2"],
     }
     assert values(spark, list(cases), lambda: U.next_pages("x")) == list(cases.values())
     assert values(spark, ["http://a/l", "http://a/l?start=0"], lambda: U.next_page("x")) == ["http://a/l?page=2", None]
     pairs = [("http://a/b/", "../c#d"), ("http://a/b", "mailto:x"), ("http://a", "/"), ("http://a", "ftp://x"), ("http://a", None)]
     assert values(spark, pairs, lambda: U.absolute("x", "y"), "x string, y string") == ["http://a/c", None, "http://a", None, None]
     assert values(spark, ["http://a/GUIA_EDUCATIVA_2020.pdf", "http://a/file_2.pdf", "http://a/Informe%20anual%20(1).docx"], lambda: U.title_from_file_name("x")) == ["Guia Educativa 2020", None, "Informe anual"]
+    assert values(spark, ["http://a/a%zz_informe.pdf", "http://a/el+plan+--+final+(2).PDF", "http://a/", None, "http://a/abc.pdf"], lambda: U.title_from_file_name("x")) == ["a%zz informe", "el plan final", None, None, None]
 
 
 def test_words(spark):

@@ -26,7 +26,11 @@ def test_near_duplicates_equal_brute_force(spark):
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     sets = {k: {tuple(d.split()[i : i + 5]) for i in range(len(d.split()) - 4)} for k, d in enumerate(docs) if len(d) > 400}
     want = [(a, b, round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 6)) for a, b in itertools.combinations(sorted(sets), 2) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.7]
-    got = dedup.near_duplicate_pairs(df).withColumn("jaccard", F.round("jaccard", 6))
+    pairs, members = dedup.near_duplicates(df)
+    got = dedup.expanded(pairs, members).withColumn("jaccard", F.round("jaccard", 6))
+    partners = {d for a, b, _ in want for d in (a, b)}
+    assert {r[0] for r in dedup.with_partner(pairs, members).collect()} == partners and pairs.where("a >= b").isEmpty()
+    assert {r["doc_id"]: r["class_size"] for r in members.collect()}[3] == 3
     assert rows(got, "a", "b", "jaccard") == sorted(want, key=str) and len(want) > 15
 
 

@@ -74,8 +74,13 @@ def test_fetching(spark):
     throttle = fetch.Throttle(quota=3, delay=2.0, clock=lambda: next(clock))
     assert [throttle.wait("http://a/") for _ in range(3)] == [0.0, 1.5, 0.0] and not throttle.admits("http://a/") and throttle.admits("http://b/")
     maps = {"http://a/s.xml": "<sitemapindex><sitemap><loc>http://a/t.xml</loc></sitemap></sitemapindex>", "http://a/t.xml": "<urlset><url><loc>http://a/1</loc></url><url><loc>http://a/2</loc></url></urlset>"}
-    assert fetch.sitemap_urls("http://a", "Sitemap: http://a/s.xml", maps.get) == ["http://a/1", "http://a/2"] and fetch.sitemap_urls("http://a", None, maps.get) == []
-    allowed = rights.allowed(spark, spark.createDataFrame([("http://a/x",), ("http://a/y",), ("http://b/x",)], "url string"), {"a": "User-agent: *\nDisallow: /x"}, "bot")
+    files = spark.createDataFrame(list(maps.items()), "url string, text string")
+    sites = spark.createDataFrame([("http://a", "Sitemap: http://a/s.xml"), ("http://b", None)], "site string, robots string")
+    assert sorted(r["url"] for r in fetch.sitemap_pages(sites, files).collect()) == ["http://a/1", "http://a/2"]
+    hinted = spark.createDataFrame([("a", "http://a/x", 1), ("a", "http://a/noticia/y", 2), ("a", "http://a/z", 3)], "site string, url string, pos int")
+    assert [r["url"] for r in fetch.content_first(hinted, ["/noticia/"], 2).orderBy("pos").collect()] == ["http://a/x", "http://a/noticia/y"]
+    robots = spark.createDataFrame([("a", "User-agent: *\nDisallow: /x")], "host string, robots string")
+    allowed = rights.allowed(spark.createDataFrame([("http://a/x",), ("http://a/y",), ("http://b/x",)], "url string"), robots, "bot")
     assert {r["url"]: r["allowed"] for r in allowed.collect()} == {"http://a/x": False, "http://a/y": True, "http://b/x": True}
 
 
@@ -112,11 +117,11 @@ def test_streams(spark, tmp_path):
 
     put("1.json", [(60.0 * k, "s", f"http://a/{k}", "hub" if k else "saved") for k in range(5)])
     stream = ledger.stream(spark, f"{tmp_path}/in")
-    live = panel.to_memory(panel.per_minute(stream), "per_minute").collect()
+    live = panel.to_table(panel.per_minute(stream), f"{tmp_path}/minutes").collect()
     assert sorted(r["n"] for r in live) == [1] * 5
-    counters = panel.to_memory(panel.domain_counters(stream), "counters").first()
+    counters = panel.to_table(panel.domain_counters(stream), f"{tmp_path}/counters").first()
     assert (counters["fetched"], counters["saved"]) == (5, 1)
-    states = panel.to_memory(panel.saturation(stream, window=4, budget_seconds=1000), "states", "update").collect()
+    states = panel.to_table(panel.saturation(stream, window=4, budget_seconds=1000), f"{tmp_path}/states", "update").collect()
     assert states[-1][:] == ("s", 5, 4, "saturated")
     (tmp_path / "docs").mkdir()
     texts = spark.readStream.schema("url string, text string").json(f"{tmp_path}/docs")
