@@ -12,14 +12,12 @@ from lexloom.operators import audit
 from lexloom.session import table
 from lexloom.sources import artifacts
 
-# Pages that list documents: page g holds the first 3 to 10 of documents 10 g to 10 g + 9 as cards.
-_snippet = F.btrim(F.repeat(F.lit("word "), (12 + F.col("doc_id") % 12).cast("int")))
-_card = F.concat(F.lit('<li class="card"><h3><a href="/d/'), F.col("doc_id"), F.lit('">Item '), F.col("doc_id"), F.lit("</a></h3><p>"), _snippet, F.lit("</p></li>"))
-
-
 def listings(spark, sf):
+    """Pages that list documents: page g holds the first 3 to 10 of documents 10 g to 10 g + 9 as cards."""
+    snippet = F.btrim(F.repeat(F.lit("word "), (12 + F.col("doc_id") % 12).cast("int")))
+    card = F.concat(F.lit('<li class="card"><h3><a href="/d/'), F.col("doc_id"), F.lit('">Item '), F.col("doc_id"), F.lit("</a></h3><p>"), snippet, F.lit("</p></li>"))
     docs = table(spark, sf, "documents").select("doc_id", F.floor(F.col("doc_id") / 10).alias("page"))
-    held = docs.where(F.col("doc_id") % 10 < 3 + F.col("page") % 8).groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", _card.alias("c")))), lambda x: x["c"]), "").alias("cards"), F.count("*").alias("n"))
+    held = docs.where(F.col("doc_id") % 10 < 3 + F.col("page") % 8).groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", card.alias("c")))), lambda x: x["c"]), "").alias("cards"), F.count("*").alias("n"))
     html = F.concat(F.lit('<html><body><nav><a href="/home">Home page</a></nav><main><ul>'), "cards", F.lit("</ul></main></body></html>"))
     return held.where("n >= 3").select(F.col("page").alias("page_id"), F.concat(F.lit("https://site.example/list/"), F.col("page")).alias("url"), html.alias("html"))
 
@@ -151,13 +149,12 @@ def _digests(spark, sf):
     return found.select("page_id", "title", F.array_join("headings", "|").alias("headings"), F.array_join("labels", "|").alias("labels"))
 
 
-# Documents as pages: the text without signs that mean something in HTML, as one paragraph of an article.
-_plain = T.collapse(F.regexp_replace("text", "[<>&]", " "))
 PLAIN_SQL = r"trim(regexp_replace(regexp_replace(text, '[<>&]', ' ', 'g'), '\s+', ' ', 'g'))"
 
 
 def articles(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", _plain.alias("plain"))
+    """Documents as pages: the text without signs that mean something in HTML, as one paragraph of an article."""
+    docs = table(spark, sf, "documents").select("doc_id", T.collapse(F.regexp_replace("text", "[<>&]", " ")).alias("plain"))
     html = F.concat(F.lit("<html><head>"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<link rel='canonical' href='https://c.org/"), "doc_id", F.lit("'>"))).otherwise(""), F.lit("</head><body><nav>menu</nav><article><p>"), "plain", F.lit("</p></article></body></html>"))
     return docs.select("doc_id", F.concat(F.lit("https://d.org/"), "doc_id").alias("url"), html.alias("html"), "plain")
 
