@@ -129,4 +129,4 @@ def test_streams(spark, tmp_path):
     for turn in range(2):
         documents.save_batches(texts, f"{tmp_path}/store", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
         (tmp_path / "docs" / "2.json").write_text(json.dumps({"url": f"http://b/{turn}", "text": "word  " * 60}))
-    assert spark.read.parquet(f"{tmp_path}/store").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/store/documents").count() == 1
