@@ -56,6 +56,8 @@ GRAM = 64
 STEP = 96
 #: Bytes of stretches in one shard, about, and of one index, at most (but for a single stretch); how crowds are cut.
 SHARD_BYTES, CROWD_BYTES, STEPS = 1_000_000, 250_000, (96, 12, 1)
+#: Little work is dealt to all cores, in shards of this many bytes at least.
+LEAST_BYTES = 50_000
 #: Window starts of a text that are looked at together, and rows that leave a task together.
 SEGMENT, ROWS = 1 << 20, 50_000
 
@@ -378,7 +380,8 @@ def span(first: Column, last: Column) -> Column:
 def indexed(units: DataFrame, length: int) -> DataFrame:
     """Return (key, kind, spans) of what the distinct texts (kind, bytes) of each key have in common, by an index for each shard."""
     total = units.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
-    shards = max(1, -(-total // SHARD_BYTES))
+    cores = units.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, -(-total // SHARD_BYTES), min(4 * cores, total // LEAST_BYTES))
 
     def index(part: pa.Table) -> pa.Table:
         part = part.sort_by([("key", "ascending"), ("kind", "ascending")])
