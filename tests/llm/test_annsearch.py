@@ -57,7 +57,7 @@ def recall(spark, x):
     return len(got & want) / len(want)
 
 
-@pytest.mark.parametrize("n", [500, 2000, 12000])
+@pytest.mark.parametrize("n", [500, 6000])
 def test_recall_on_isotropic_vectors(spark, n):
     x = np.random.default_rng(3).normal(size=(n, 64))
     assert recall(spark, x / np.linalg.norm(x, axis=1)[:, None]) >= 0.9
