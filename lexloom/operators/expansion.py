@@ -131,6 +131,22 @@ def in_scope(targets: DataFrame, aliases: DataFrame, subdomains: bool = True) ->
     return rows.withColumn("inside", U.same_site("url", F.col("seed"), subdomains) | F.coalesce("_known", F.lit(False))).drop("_host", "_alias", "_known")
 
 
+def throttled(visits: DataFrame, quota: int = 500, delay: float = 2.0) -> DataFrame:
+    """Return ``visits`` (url, ts, blocked; ts is when a visit is asked for) with turn, admitted and begins, by site.
+
+    A site admits ``quota`` visits, and none after one that met a block. Visits
+    keep a distance of ``delay`` seconds, so the i-th begins at the largest of
+    ts(j) + (i - j) * delay over those up to it: a running maximum, no loop.
+    """
+    site = Window.partitionBy("_site").orderBy("ts", "url")
+    before = site.rowsBetween(Window.unboundedPreceding, -1)
+    rows = visits.withColumn("_site", U.netloc("url")).withColumn("turn", F.row_number().over(site))
+    latched = F.coalesce(F.max(F.col("blocked").cast("int")).over(before), F.lit(0)) == 1
+    rows = rows.withColumn("admitted", (F.col("turn") <= quota) & ~latched)
+    slack = F.max(F.col("ts") - F.col("turn") * delay).over(site.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("begins", F.when(F.col("admitted"), slack + F.col("turn") * delay)).drop("_site")
+
+
 def crawl_mode(mode: Column, closed: Column, binary: Column, sections: Column, strategy: Column) -> Column:
     """Return how a seed is walked: closed, classic, sections, or directed (a file as seed).
 

@@ -253,7 +253,20 @@ SATURATION_SQL = (
     "m AS (SELECT seed, count(*) AS fetched, coalesce(max(k) FILTER (yields), -1) AS last FROM f GROUP BY seed), b AS (SELECT m.seed, any_value(fetched) AS fetched, count(*) FILTER (k > last) AS barren FROM f JOIN m USING (seed) GROUP BY m.seed) SELECT seed, fetched, barren, CASE WHEN barren >= 25 THEN 'saturated' ELSE 'open' END AS state FROM b"
 )
 
+def _throttled(spark, sf):
+    """Visits to 50 sites by number, some of which meet a block."""
+    k = F.col("k")
+    rows = _events(spark, sf).select("event_id", F.concat(F.lit("https://t"), k % 50, F.lit(".org/"), F.lpad(k.cast("string"), 9, "0")).alias("url"), F.floor(k / 40).cast("double").alias("ts"), (k % 3001 == 3000).alias("blocked"))
+    return expansion.throttled(rows, 150, 2.0).select("event_id", "turn", "admitted", "begins")
+
+
+THROTTLED_SQL = (
+    "WITH v AS (SELECT event_id AS k, event_id % 50 AS site, floor(event_id / 40)::DOUBLE AS ts, event_id % 3001 = 3000 AS blocked FROM events), n AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY ts, k) AS turn, coalesce(max(blocked::INT) OVER (PARTITION BY site ORDER BY ts, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS latch FROM v), "
+    "pairs AS (SELECT a.k, max(b.ts + (a.turn - b.turn) * 2.0) AS begins FROM n a JOIN n b ON a.site = b.site AND b.turn <= a.turn GROUP BY a.k) SELECT k AS event_id, turn::INT AS turn, turn <= 150 AND latch = 0 AS admitted, CASE WHEN turn <= 150 AND latch = 0 THEN begins END AS begins FROM n JOIN pairs USING (k)"
+)
+
 QUERIES = {
+    "throttled_visits": (_throttled, THROTTLED_SQL),
     "page_decision_rows": (_decided, DECISIONS_SQL),
     "listing_expansion": (lambda spark, sf: expansion.listing_expansion(_walked(spark, sf), 20).select("seed", "via", "url", "depth", "kind", "from_listing"), EXPANSION_SQL),
     "followed_links": (lambda spark, sf: expansion.followed_links(_walked(spark, sf), HINTS).select("seed", "via", "url", "depth", "kind", "hint_pdf"), FOLLOWED_SQL),

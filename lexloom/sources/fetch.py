@@ -56,6 +56,11 @@ class TableFetcher:
         return Answer(url, 404) if page is None else Answer(url, 200, "text/html", page)
 
 
+def empty_site() -> TableFetcher:
+    """Return a fetcher that finds nothing anywhere."""
+    return TableFetcher({})
+
+
 @dataclass
 class Retrying:
     """Asks again after failures of the transport, at growing distances of 2 to 30 seconds; a last failure is a block of kind network."""

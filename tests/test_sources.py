@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.operators import rights
-from lexloom.sources import documents, fetch, ledger, logs, seeds
+from lexloom.sources import datasource, documents, fetch, ledger, logs, seeds
 from lexloom.streaming import panel
 
 
@@ -130,3 +130,19 @@ def test_streams(spark, tmp_path):
         documents.save_batches(texts, f"{tmp_path}/store", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
         (tmp_path / "docs" / "2.json").write_text(json.dumps({"url": f"http://b/{turn}", "text": "word  " * 60}))
     assert spark.read.parquet(f"{tmp_path}/store/documents").count() == 1
+
+
+def table_fetcher():
+    return fetch.TableFetcher({"http://a/1": "<p>one</p>", "http://b/1": "<p>two</p>"})
+
+
+def test_pages_as_a_data_source(spark):
+    datasource.register(spark)
+    urls = json.dumps(["http://a/1", "http://a/2", "http://b/1"])
+    dealt = datasource.PagesReader(json.loads(urls), "x:y", 8).partitions()
+    assert [p.urls for p in dealt] == [["http://a/1", "http://a/2"], ["http://b/1"]]
+    rows = datasource.PagesReader(json.loads(urls), f"{table_fetcher.__module__}:table_fetcher", 8)
+    assert [r[:2] for p in dealt for r in rows.read(p)] == [("http://a/1", 200), ("http://a/2", 404), ("http://b/1", 200)]
+    assert spark.read.format("lexloom_pages").option("fetcher", "lexloom.sources.fetch:empty_site").option("urls", urls).load().where("status = 404").count() == 3
+    with pytest.raises(Exception, match="fetcher"):
+        spark.read.format("lexloom_pages").load().count()
