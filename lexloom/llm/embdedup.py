@@ -1,19 +1,24 @@
 """Embedding near-dedup: spherical k-means cells and blocked cosine products.
 
-Equal vectors are one class. Each class goes to the cell of its nearest centre
-and, as a guest, to cells of a lower number whose centre is nearly as near: if a
-pair at the threshold is split between two cells, its vector of the higher one
-must be about as near to the other centre, since the two are at most
+Equal vectors are one class. Each class belongs to the cell of its nearest
+centre and may link with rows of another cell only if that one's centre is
+nearly as near: if a pair at the threshold is split between two cells, each of
+its vectors must be about as near to the other centre, since the two are at most
 sqrt(2 - 2 t) apart. ``guard`` is the part of that exact bound which is used: at
-1, the default, no pair can be lost. Cells are compared block by block; they
-return each class's number of links and a spanning forest, no pairs, and the
-forests join into components.
+1, the default, no pair can be lost. Neighbouring cells share a bin of a bounded
+number of components, and large cells are dealt out over several. A row is sent
+once to each pair of its own bin and one that holds a cell in its reach, so it
+is copied at most once for each bin, and a task holds two bins. Tasks return each
+class's number of links and a spanning forest, no pairs, and the forests join
+into components.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,35 +32,86 @@ from lexloom.llm.vectors import bounded_sample, k_means, matrix, unit, usable
 
 #: Vectors that the centres are fitted on, at most.
 SAMPLE = 8192
-#: Rows of a cell that are compared in one task; larger cells are dealt out in pairs of blocks.
-BLOCK = 8192
+#: Numbers (of vectors, scores or marks) that a bin or a step of the routing holds, about; a task holds two bins.
+BIN = 1 << 21
+#: Rows of a bin, at most; small tables are dealt into about SPREAD bins, of LEAST rows or more.
+BLOCK, SPREAD, LEAST = 32_768, 8, 1024
 TILE = 1024
 
 
-def compare(x: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float, links: np.ndarray, root: np.ndarray) -> np.ndarray:
-    """Compare the rows ``left`` of the unit vectors ``x`` with ``right``; where ``right`` begins with ``left``, each pair once.
+@dataclass
+class Cells:
+    """Centres, the bound between each two, and the bins: cell c is dealt over ``many[c]`` bins from ``first[c]`` on."""
 
-    Adds the partners' weights to ``links`` and returns the roots that rows then
-    reach. Products are rounded in an order that depends on the block; those
-    within 1e-12 of the threshold are summed again in one fixed order.
-    """
-    same = len(right) >= len(left) and (right[: len(left)] == left).all()
-    for i in range(0, len(left), TILE):
-        a = left[i : i + TILE]
-        for j in range(i if same else 0, len(right), TILE):
-            b = right[j : j + TILE]
-            product = x[a] @ x[b].T
-            p, q = np.nonzero(product >= threshold - 1e-12)
-            if same and i == j:
-                p, q = p[p < q], q[p < q]
-            value = product[p, q]
-            edge = np.abs(value - threshold) < 1e-12
-            value[edge] = (x[a[p[edge]]] * x[b[q[edge]]]).sum(1)
-            p, q = a[p[value >= threshold]], b[q[value >= threshold]]
-            if len(p):
-                links += np.bincount(p, weight[q], len(x)).astype(np.int64) + np.bincount(q, weight[p], len(x)).astype(np.int64)
-                root = forest(len(x), np.concatenate([np.arange(len(x)), p]), np.concatenate([root, q]))
-    return root
+    centres: np.ndarray
+    margin: np.ndarray
+    first: np.ndarray
+    many: np.ndarray
+
+    def reach(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Return each row's own cell and, for every cell, whether the row may link with rows of it."""
+        score = x @ self.centres.T
+        own = score.argmax(1)
+        return own, score >= score[np.arange(len(own)), own][:, None] - self.margin[own] - 1e-9
+
+    def near(self, x: np.ndarray, own: int, other: int) -> np.ndarray:
+        """Return the places of the rows of ``x``, all of the cell ``own``, that may link with rows of the cell ``other``."""
+        return np.flatnonzero(x @ (self.centres[other] - self.centres[own]) >= -self.margin[own, other] - 2e-9)
+
+
+def dealt(rows: np.ndarray, most: int, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Deal cells of ``rows`` rows into bins of about ``most``: (first bin, number of bins) of each; cells that share one are neighbours."""
+    first, many = np.zeros(len(rows), np.int64), np.maximum(1, -(-rows // most))
+    left, at, bins, room = np.ones(len(rows), bool), 0, 0, -1
+    while left.any():
+        at = int(np.where(left, apart[at], np.inf).argmin())
+        left[at] = False
+        if many[at] > 1 or rows[at] > room:
+            first[at], bins, room = bins, bins + many[at], most - rows[at]
+        else:
+            first[at], room = bins - 1, room - rows[at]
+    return first, many
+
+
+class Links:
+    """Number of links and root of each of the unit vectors ``x`` of one task; each stands for ``weight`` rows."""
+
+    def __init__(self, x: np.ndarray, weight: np.ndarray, threshold: float) -> None:
+        self.x, self.weight, self.threshold = x, weight, threshold
+        self.short = x.astype(np.float32)
+        # Single precision moves a product of unit vectors by less than this.
+        self.slack = 4 * (x.shape[1] + 8) * float(np.finfo(np.float32).eps)
+        self.links, self.root = np.zeros(len(x), np.int64), np.arange(len(x))
+
+    def compare(self, left: np.ndarray, right: np.ndarray | None = None) -> None:
+        """Link the rows ``left`` with ``right`` (None: with one another, each pair once).
+
+        Single precision only tells which pairs are looked at; products in double
+        precision decide. These are rounded in an order that depends on the tile;
+        those within 1e-12 of the threshold are summed again in one fixed order.
+        """
+        same = right is None
+        right = left if same else right
+        for i in range(0, len(left), TILE):
+            a = left[i : i + TILE]
+            for j in range(i if same else 0, len(right), TILE):
+                b = right[j : j + TILE]
+                p, q = np.nonzero(self.short[a] @ self.short[b].T >= self.threshold - self.slack)
+                if same and i == j:
+                    p, q = p[p < q], q[p < q]
+                if not len(p):
+                    continue
+                value = (self.x[a] @ self.x[b].T)[p, q] if 64 * len(p) > len(a) * len(b) else (self.x[a[p]] * self.x[b[q]]).sum(1)
+                edge = np.abs(value - self.threshold) < 1e-12
+                value[edge] = (self.x[a[p[edge]]] * self.x[b[q[edge]]]).sum(1)
+                p, q = p[value >= self.threshold], q[value >= self.threshold]
+                self.links[a] += np.bincount(p, self.weight[b[q]], len(a)).astype(np.int64)
+                self.links[b] += np.bincount(q, self.weight[a[p]], len(b)).astype(np.int64)
+                p, q = a[p], b[q]
+                apart = self.root[p] != self.root[q]
+                if apart.any():
+                    every = np.arange(len(self.x))
+                    self.root = forest(len(every), np.concatenate([every, p[apart]]), np.concatenate([self.root, q[apart]]))
 
 
 def of_length(classes: DataFrame, total: int, n: int, threshold: float, cells: int | None, guard: float) -> DataFrame:
@@ -64,63 +120,75 @@ def of_length(classes: DataFrame, total: int, n: int, threshold: float, cells: i
     apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
     margin = guard * math.sqrt(2 - 2 * threshold) * apart
     spark = classes.sparkSession
-    shared = spark.sparkContext.broadcast((centres, margin))  # at most 4096 centres
-
-    def cells_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Return (row, cell, whether it is the row's own) of every cell that a row goes to."""
-        centres, margin = shared.value
-        score = unit(matrix(column)) @ centres.T
-        own = score.argmax(1)
-        row = np.arange(len(own))
-        guest = (score >= score[row, own][:, None] - margin[own] - 1e-9) & (np.arange(len(centres))[None] < own[:, None])
-        at, cell = np.nonzero(guest)
-        return np.concatenate([row, at]), np.concatenate([own, cell]), np.concatenate([np.ones(len(own), bool), np.zeros(len(at), bool)])
+    shared = spark.sparkContext.broadcast(Cells(centres, margin, *np.zeros((2, len(centres)), np.int64)))  # at most 4096 centres
+    chunk = max(1, min(BLOCK, BIN // max(n, len(centres))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many = np.zeros(len(shared.value.centres), np.int64)
         for batch in batches:
-            many = np.bincount(cells_of(batch.column(0))[1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(many))), pa.array(many)], ["cell", "rows"])
+            for lo in range(0, len(batch), chunk):
+                own, _ = shared.value.reach(unit(matrix(batch.column(0).slice(lo, chunk))))
+                many += np.bincount(own, minlength=len(many))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(many))), pa.array(many)], ["cell", "rows"])
 
     counts = classes.select("_vec").mapInArrow(count, "cell long, rows long").groupBy("cell").agg(F.sum("rows").alias("rows"))
-    blocks = np.ones(len(centres), np.int64)
+    rows = np.zeros(len(centres), np.int64)
     for r in counts.collect():  # one row for each centre
-        blocks[r["cell"]] = max(1, -(-r["rows"] // BLOCK))
-    dealt = spark.sparkContext.broadcast(blocks)
+        rows[r["cell"]] = r["rows"]
+    first, many = dealt(rows, max(1, min(BLOCK, BIN // n, max(LEAST, total // SPREAD))), apart)
+    bins = int((first + many).max())
+    placed = spark.sparkContext.broadcast(Cells(centres, margin, first, many))
+    step = max(1, min(chunk, BIN // bins))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["_vec", "low", "many", "_h", "_g"]
-        for batch in batches:
-            at, cell, own = cells_of(batch.column(0))
-            block = np.asarray(batch.column(3)).astype(np.uint64)[at] % dealt.value[cell].astype(np.uint64)
-            many = dealt.value[cell]
-            again = np.repeat(np.arange(len(at)), many)
-            other = np.arange(len(again)) - np.repeat(np.cumsum(many) - many, many)
-            mine = block.astype(np.int64)[again]
-            extra = [cell[again], np.minimum(mine, other), np.maximum(mine, other), mine, own[again]]
-            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(at[again])).columns, *map(pa.array, extra)], [*names, "cell", "i", "j", "block", "own"])
+        """Send each row to all pairs of bins where it may have links, in batches of bounded size."""
+        names = ["_vec", "low", "many", "_h", "_g", "i", "j", "mine", "cell"]
+        place = placed.value
+        for whole in batches:
+            for lo in range(0, len(whole), step):
+                batch = whole.slice(lo, step)
+                own, near = place.reach(unit(matrix(batch.column(0))))
+                mine = place.first[own] + (np.asarray(batch.column(3)).astype(np.uint64) % place.many[own].astype(np.uint64)).astype(np.int64)
+                at, cell = np.nonzero(near)
+                met = np.zeros((len(batch), bins + 1), np.int32)
+                np.add.at(met, (at, place.first[cell]), 1)
+                np.add.at(met, (at, place.first[cell] + place.many[cell]), -1)
+                at, other = np.nonzero(met.cumsum(1)[:, :-1])
+                for k in range(0, len(at), chunk):
+                    row, its = at[k : k + chunk], other[k : k + chunk]
+                    extra = [np.minimum(mine[row], its), np.maximum(mine[row], its), mine[row], own[row]]
+                    yield pa.RecordBatch.from_arrays([*batch.take(pa.array(row)).columns, *map(pa.array, extra)], names)
 
     def run(part: pa.Table) -> pa.Table:
-        x = unit(matrix(part["_vec"]))
-        low, block = part["low"].to_numpy(), part["block"].to_numpy()
-        own, weight = part["own"].to_numpy(zero_copy_only=False), part["many"].to_numpy()
-        links, root = np.zeros(len(x), np.int64), np.arange(len(x))
         i, j = part["i"][0].as_py(), part["j"][0].as_py()
-        homes = np.flatnonzero(own & (block == i))
-        later = np.flatnonzero(own & (block == j)) if i != j else homes
-        # A cell's own rows with one another and with guests; guests meet elsewhere.
-        root = compare(x, weight, homes, np.concatenate([later, np.flatnonzero(~own & (block == j))]), threshold, links, root)
-        if i != j:
-            root = compare(x, weight, later, np.flatnonzero(~own & (block == i)), threshold, links, root)
-        some, moved = np.flatnonzero(links), np.flatnonzero(root != np.arange(len(root)))
+        part = part.sort_by([("mine", "ascending"), ("cell", "ascending")])
+        low, mine, cell = (part[c].to_numpy() for c in ("low", "mine", "cell"))
+        x = unit(matrix(part["_vec"]))
+        found = Links(x, part["many"].to_numpy(), threshold)
+        cuts = [0, *(np.flatnonzero((np.diff(cell) != 0) | (np.diff(mine) != 0)) + 1).tolist(), len(x)]
+        runs = [(int(mine[a]), int(cell[a]), np.arange(a, b)) for a, b in pairwise(cuts)]
+        for k, (p, c, left) in enumerate(runs):
+            if i == j:
+                found.compare(left)
+            for q, d, right in runs[k + 1 :]:
+                if i != j and p == q:
+                    continue  # rows of one bin meet in its own task
+                if c != d:
+                    found.compare(left[placed.value.near(x[left], c, d)], right[placed.value.near(x[right], d, c)])
+                else:
+                    found.compare(left, right)
+        some, moved = np.flatnonzero(found.links), np.flatnonzero(found.root != np.arange(len(x)))
         none = lambda k: pa.nulls(k, pa.int64())
-        linked = [pa.array(low[some]), part["_h"].take(some).combine_chunks(), part["_g"].take(some).combine_chunks(), pa.array(links[some]), none(len(some))]
-        joined = [pa.array(low[moved]), none(len(moved)), none(len(moved)), none(len(moved)), pa.array(low[root[moved]])]
+        linked = [pa.array(low[some]), part["_h"].take(some).combine_chunks(), part["_g"].take(some).combine_chunks(), pa.array(found.links[some]), none(len(some))]
+        joined = [pa.array(low[moved]), none(len(moved)), none(len(moved)), none(len(moved)), pa.array(low[found.root[moved]])]
         return pa.concat_tables([pa.table(dict(zip(["low", "_h", "_g", "links", "b"], c, strict=True))) for c in (linked, joined)])
 
     kind = classes.schema["_vec"].dataType.simpleString()
-    schema = f"_vec {kind}, low long, many long, _h long, _g long, cell long, i long, j long, block long, own boolean"
+    schema = f"_vec {kind}, low long, many long, _h long, _g long, i long, j long, mine long, cell long"
     sent = classes.select("_vec", "low", "many", "_h", "_g").mapInArrow(route, schema)
-    return sent.groupBy("cell", "i", "j").applyInArrow(run, "low long, _h long, _g long, links long, b long")
+    # Few bytes are much work here, so partitions are not merged by their size.
+    pairs = sent.repartition(min(4096, bins * (bins + 1) // 2), "i", "j")
+    return pairs.groupBy("i", "j").applyInArrow(run, "low long, _h long, _g long, links long, b long")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, cells: int | None = None, guard: float = 1.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexloom.llm import embdedup
@@ -83,3 +84,16 @@ def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embdedup.near_vectors(df).count() == 0
     assert embdedup.near_vectors(spark.createDataFrame([(1, None)], df.schema)).collect()[0][:] == (1, 0, 1, True)
+
+
+def test_routing_is_bounded(spark, monkeypatch):
+    """However many bins there are, rows are routed in batches of bounded size and go to each bin at most once."""
+    monkeypatch.setattr(embdedup, "BLOCK", 128)
+    x = np.random.default_rng(10).normal(size=(4000, 32))
+    rows = spark.createDataFrame([(v.tolist(), k, 1, k, k) for k, v in enumerate(x)], "_vec array<double>, low long, many long, _h long, _g long")
+    made, plain = [], type(rows).mapInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, run, *rest: made.append(run) or plain(self, run, *rest))
+    embdedup.of_length(rows, len(x), 32, 0.9, 16, 1.0)
+    batch = pa.RecordBatch.from_arrays([pa.array(x.tolist()), *[pa.array(c) for c in (np.arange(len(x)), np.ones(len(x), np.int64), np.arange(len(x)), np.arange(len(x)))]], rows.columns)
+    sent = [b.num_rows for b in made[-1](iter([batch]))]
+    assert max(sent) <= 128 and sum(sent) <= 2 * len(x) * len(x) / 128
