@@ -33,17 +33,24 @@ BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="
 OFFSETS = np.arange(8, dtype=np.int64) * 256
 
 
+def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Return the majority of each bit over the hashes from first[k] to first[k + 1], for every k; none gives zero."""
+    out = np.zeros(len(first) - 1, np.uint64)
+    octets = hashes.view(np.uint8).reshape(-1, 8).astype(np.int64) + OFFSETS
+    for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
+        if b > a:
+            seen = np.bincount(octets[a:b].ravel(), minlength=2048).reshape(8, 256) @ BITS
+            out[k] = np.packbits((2 * seen.ravel() > b - a), bitorder="little").view("<u8")[0]
+    return out
+
+
 def fingerprint(texts: list[bytes], words: int, seed: int) -> np.ndarray:
     """Return the 64-bit fingerprints of ``texts``; no word gives zero."""
     out = np.zeros(len(texts), np.uint64)
     for lo, hi in blocks(texts):
         w = Words(texts[lo:hi])
         start, end, first = w.shingles(words)
-        octets = xxh64(w.buf, start, end, seed).view(np.uint8).reshape(-1, 8).astype(np.int64) + OFFSETS
-        for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
-            if b > a:
-                seen = np.bincount(octets[a:b].ravel(), minlength=2048).reshape(8, 256) @ BITS
-                out[lo + k] = np.packbits((2 * seen.ravel() > b - a), bitorder="little").view("<u8")[0]
+        out[lo:hi] = majority(xxh64(w.buf, start, end, seed), first)
     return out
 
 

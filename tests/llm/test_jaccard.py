@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from lexloom.llm import jaccard
+from lexloom.llm import jaccard, simhash
 
 
 def brute_sets(text, n=5):
@@ -60,3 +60,24 @@ def test_repeated_and_missing_ids(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] or 0 for r in jaccard.keep_one_per_group(df).collect()) == [0, 1, 3]
     assert jaccard.keep_one_per_group(df.limit(0)).count() == 0
+
+
+def test_the_stage_searches_by_fingerprints(spark, monkeypatch):
+    """Where no band agrees, the trees over fingerprints find the near copies, and the sets decide."""
+
+    def none_agree(sets):
+        import os
+
+        return np.frombuffer(os.urandom(8 * len(sets) * jaccard.BANDS), np.uint64).reshape(len(sets), jaccard.BANDS)
+
+    monkeypatch.setattr(jaccard, "band_keys", none_agree)
+    rng = np.random.default_rng(5)
+    base = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 3000)) for _ in range(20)]
+    copies = [edited(t, 1, rng) for t in base]
+    texts = [*base, *copies, *base[:3], "a b c d e f", "", None]
+    fps = simhash.fingerprint([(t or "").encode() for t in texts], 5, 42)
+    near = {k for k in range(20) if np.bitwise_count(fps[k] ^ fps[20 + k]) <= 3}
+    assert len(near) > 8
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_near_copies(spark, df, "").collect()}
+    assert kept == set(range(20)) | {20 + k for k in range(20) if k not in near} | {43, 44}
