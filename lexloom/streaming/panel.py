@@ -49,7 +49,9 @@ def saturation(rows: DataFrame, window: int = 25, budget_seconds: float | None =
     """Return (seed, fetched, barren, state) after each batch: open, saturated or out_of_time.
 
     Kept for each seed: fetches, fetches since the last that yielded, and the
-    first time. The time runs on over all sections of a seed. With ``by_clock``
+    first time. A trigger's rows of a seed come in pieces of any order: what counts
+    is their time, so the times of fetches after the latest that yielded are held
+    until all have come. The time runs on over all sections of a seed. With ``by_clock``
     the budget is counted from the first batch that holds the seed and a timer
     of the engine's own clock ends it, even if no more rows come.
     """
@@ -61,13 +63,17 @@ def saturation(rows: DataFrame, window: int = 25, budget_seconds: float | None =
         if state.hasTimedOut:
             yield pd.DataFrame([(key[0], fetched, barren, "out_of_time")], columns=names)
             return
-        last = first
+        last, yielded, later = float("-inf"), float("-inf"), pd.Series(dtype="float64")
         for batch in batches:
-            for row in batch.sort_values("ts").itertuples():
-                first, last = min(first, row.ts), row.ts
-                if row.decision in vocab.FETCH_OUTCOMES:
-                    fetched += 1
-                    barren = 0 if row.decision == "saved" or (row.decision == "listing" and row.kind == "new_items") else barren + 1
+            first, last = min(first, batch["ts"].min()), max(last, batch["ts"].max())
+            visits = batch.fillna({"ts": float("inf")})[batch["decision"].isin(vocab.FETCH_OUTCOMES)]
+            yields = (visits["decision"] == "saved") | ((visits["decision"] == "listing") & (visits["kind"] == "new_items"))
+            fetched += len(visits)
+            if yields.any():
+                yielded, barren = max(yielded, visits["ts"][yields].max()), 0
+            later = pd.concat([later, visits["ts"]])
+            later = later[later > yielded]
+        barren += len(later)
         if by_clock and budget_seconds is not None:
             now = state.getCurrentProcessingTimeMs()
             ends = ends or now + int(1000 * budget_seconds)

@@ -79,6 +79,20 @@ def test_clock_ends_a_seed(spark, tmp_path):
     assert found[0] == "open" and "out_of_time" in found[1:]
 
 
+def test_saturation_by_time_whatever_the_order_of_arrival(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    visits = [{"seed": "s", "ts": float(k), "decision": "saved" if k in (3, 47) else "hub", "kind": None} for k in range(60)]
+    (tmp_path / "in" / "1.json").write_text("\n".join(json.dumps(v) for v in reversed(visits)))
+    stream = spark.readStream.schema("seed string, ts double, decision string, kind string").json(f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # many pieces, the latest first
+    try:
+        out = panel.to_table(panel.saturation(stream, window=12), f"{tmp_path}/states", "update")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [tuple(r) for r in out.collect()] == [("s", 60, 12, "saturated")]
+
+
 def test_new_contents_survive_a_restart(spark, tmp_path):
     (tmp_path / "in").mkdir()
     stream = spark.readStream.schema("content_hash string").json(f"{tmp_path}/in")
