@@ -84,3 +84,30 @@ def test_lines_are_stripped_once(spark):
     make = lambda: F.struct(*T.strip_lines("x", F.array(F.lit("Common line of the site here"))))
     (clean, gone), (short, none) = values(spark, [body, "Common line of the site here\nfew"], make)
     assert gone == 2 and none == 0 and short.startswith("Common") and values(spark, [clean], make)[0][1] == 0
+
+
+def test_matching_blocks_equal_difflib():
+    import random
+    from difflib import SequenceMatcher
+
+    rnd = random.Random(7)
+    for turn in range(400):
+        letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ"[: (1, 2, 4, 12, 36)[turn % 5]]
+        weights = [rnd.random() ** 4 + 0.003 for _ in letters]
+        a, b = ("".join(rnd.choices(letters, weights, k=rnd.choice([0, 1, 20, 199, 200, 450]))) for _ in "ab")
+        if turn % 2:
+            b = a[len(a) // 3 :] + "x" + a[: len(a) // 2]
+        assert T.matched_characters(a, b) == sum(m.size for m in SequenceMatcher(None, a, b).get_matching_blocks())
+    # What is repeated less than a hundredth is looked up: no rescan of all characters for each block.
+    text = "".join(rnd.choices("etaoin shrdlu", k=4000))
+    a, b = ("".join(c if k % 40 else rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for k, c in enumerate(text)) for _ in "ab")
+    reads = 0
+
+    class Counted(str):
+        def __getitem__(self, at):
+            nonlocal reads
+            reads += 1
+            return str.__getitem__(self, at)
+
+    T.matched_characters(Counted(a), b)
+    assert reads < 4 * len(a)
