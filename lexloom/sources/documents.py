@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import text as T
 from lexloom.functions import url as U
 from lexloom.operators import dedup
-from lexloom.session import cut_lineage
+from lexloom.session import cut_lineage, written
 
 WORD_SPACE = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
@@ -45,20 +45,27 @@ def save_batches(stream: DataFrame, folder: str, checkpoint: str, prefix: int =
     shard = lambda c: F.substring(F.sha2(F.col(c), 256), 1, prefix)
 
     def add(batch: DataFrame, _: int) -> None:
-        rows = cut_lineage(dedup.deduplicated(prepared(batch).dropDuplicates(["doc_id"])))
-        new = rows.select("doc_id", "content_hash")
+        # Texts are hashed once; what is new is told by ids and hashes alone, and the texts are read again where they are added.
+        row = "_row"
+        while row in batch.columns:
+            row += "_"
+        rows = written(prepared(batch).withColumn(row, F.monotonically_increasing_id()))
+        once = rows.groupBy("doc_id").agg(F.min(F.struct(row, "content_hash")).alias("first")).select("doc_id", "first.*")
+        lead = once.where("content_hash IS NOT NULL").groupBy("content_hash").agg(F.min("doc_id").alias("_lead"))
+        new = cut_lineage(once.join(lead, "content_hash", "left").where("_lead IS NULL OR doc_id IS NULL OR doc_id = _lead").drop("_lead"))
         wanted = new.select(F.explode(F.array("doc_id", "content_hash")).alias("key")).where("key IS NOT NULL").withColumn("shard", shard("key"))
         try:
             here = [r[0] for r in wanted.select("shard").distinct().collect()]  # at most 16 to the power of prefix
             known = batch.sparkSession.read.schema("key string, shard string").parquet(keys).where(F.col("shard").isin(here)).select("key").distinct()
-            rows = rows.join(known.withColumnRenamed("key", "doc_id"), "doc_id", "left_anti").join(known.withColumnRenamed("key", "content_hash"), "content_hash", "left_anti")
+            new = new.join(known.withColumnRenamed("key", "doc_id"), "doc_id", "left_anti").join(known.withColumnRenamed("key", "content_hash"), "content_hash", "left_anti")
+            new = cut_lineage(new)
         except AnalysisException as error:  # the first batch finds no table
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-        rows = cut_lineage(rows)
-        rows.write.mode("append").parquet(f"{folder}/documents")
-        added = rows.select(F.explode(F.array("doc_id", "content_hash")).alias("key")).where("key IS NOT NULL").withColumn("shard", shard("key"))
-        added.write.mode("append").partitionBy("shard").parquet(keys)
+        rows.join(new.select(row), row, "left_semi").drop(row).write.mode("append").parquet(f"{folder}/documents")
+        added = new.select(F.explode(F.array("doc_id", "content_hash")).alias("key")).where("key IS NOT NULL").withColumn("shard", shard("key"))
+        # One file for each shard: every task would else write one into each.
+        added.repartition("shard").write.mode("append").partitionBy("shard").parquet(keys)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
 

@@ -132,6 +132,25 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/store/documents").count() == 1
 
 
+def test_saved_batches_write_one_file_of_keys_for_each_shard(spark, tmp_path, request):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tasks stay apart, as those of large batches do
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
+    (tmp_path / "in").mkdir()
+    texts = spark.readStream.schema("url string, text string").json(f"{tmp_path}/in")
+    for turn in range(2):
+        rows = [{"url": f"http://{turn}/{k}", "text": f"{(k + 10 * turn) // 2} " + "word " * (60 if k % 5 else 6)} for k in range(30)] + [{"url": f"http://{turn}/1", "text": "other " * 60}]
+        for part in range(4):  # as many tasks
+            (tmp_path / "in" / f"{turn}-{part}.json").write_text("\n".join(map(json.dumps, rows[part::4])))
+        documents.save_batches(texts, f"{tmp_path}/store", f"{tmp_path}/cp", prefix=1).trigger(availableNow=True).start().awaitTermination()
+        shards = list((tmp_path / "store" / "keys").glob("shard=*"))
+        assert shards and all(len(list(s.glob("*.parquet"))) <= turn + 1 for s in shards)
+    out = spark.read.parquet(f"{tmp_path}/store/documents").collect()
+    held = [r["content_hash"] for r in out if r["content_hash"]]
+    long = {(k + 10 * turn) // 2 for turn in range(2) for k in range(30) if k % 5}
+    assert len(held) == len(set(held)) and len(long) - 1 <= len(held) <= len(long) + 1  # of a repeated address one text stays
+    assert len({r["doc_id"] for r in out}) == len(out) == len(held) + 12 and all(r["words"] for r in out)
+
+
 def table_fetcher():
     return fetch.TableFetcher({"http://a/1": "<p>one</p>", "http://b/1": "<p>two</p>"})
 
